@@ -10,7 +10,7 @@ URL = r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\(\),]|(?:%[0-9a-fA-F][0-9a-fA
 FENCED_CODE = r"```[\s\S]*?```"
 INLINE_CODE = r"`[^`]*`"
 CONTROL = r"[\x00-\x08\x0b-\x0c\x0e-\x1f\x7f-\x9f]"
-BLANKS = r"[\s\x1c-\x1f\u0085   -     　]+"
+BLANKS = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def strip_urls(text: Column) -> Column:

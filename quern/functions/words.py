@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: Unicode classes that stand for a letter or digit and for white space.
 WORD = r"[\p{L}\p{N}]+"
-SPACE = r"[\s\u0085   -     　]"
+SPACE = r"[\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Fixed value: GPT-2's split pattern.
 GPT2 = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?(?:(?!{SPACE})[^\p{{L}}\p{{N}}])+|{SPACE}+(?={SPACE}|\z)|{SPACE}"
 
