@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import minhash, pairs, quality
+from quern.llm import leaks, minhash, pairs, quality
 from quern.session import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,21 @@ def p2_groups(spark, sf):
 def p4_found(spark, sf):
     d = table(spark, sf, "sft_conversations").select("conv_id", "prompt", "response")
     return pairs.pair_defects(d, keep=("conv_id",)).where("defect is not null").select("conv_id", "defect").distinct()
+
+
+# 5. Evaluation texts in documents
+
+
+def _leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "eval_items"))
+
+
+@query("p5_found")
+def p5_found(spark, sf):
+    return _leaks(spark, sf).where("edits = 0").select("doc_id", "item_id").distinct()
+
+
+@query("p5_leaks")
+def p5_leaks(spark, sf):
+    """Leaks with up to one edited character, by the part of the item."""
+    return _leaks(spark, sf)
