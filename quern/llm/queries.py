@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import leaks, minhash, pairs, quality
-from quern.session import table
+from quern.functions.words import gpt2_token_count
+from quern.llm import binpack, leaks, minhash, pairs, quality
+from quern.session import broadcast_if_small, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -69,6 +70,60 @@ def p2_groups(spark, sf):
     return minhash.duplicate_groups(groups).withColumnRenamed("record", "conv_id")
 
 
+# 3. Packing
+
+
+@query("p3_found")
+def p3_found(spark, sf):
+    return binpack.needless_cuts(table(spark, sf, "packed_examples"), table(spark, sf, "pack_runs"))
+
+
+def _packed_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations packed for every sequence length in use; missing token counts are counted, two tokens frame each."""
+    capacities = table(spark, sf, "pack_runs").select(F.col("sequence_length").alias("capacity")).where("capacity > 0").distinct()
+    d = table(spark, sf, "sft_conversations").select("conv_id", F.when(F.col("token_count") > 0, F.col("token_count").cast("bigint")).otherwise(gpt2_token_count(F.col("text"))).alias("n"))
+    once = d.groupBy("conv_id").agg((F.max("n") + 2).alias("length"))
+    sized = once.crossJoin(F.broadcast(capacities.groupBy().agg(F.collect_set("capacity").alias("cs")))).select("conv_id", "length", F.explode("cs").alias("capacity"))
+    return binpack.pack(sized.withColumn("row_length", F.col("capacity")), "row_length", ["conv_id"], "length", "capacity")
+
+
+@query("p3_packing")
+def p3_packing(spark, sf):
+    return _packed_conversations(spark, sf)
+
+
+@query("p3_fill")
+def p3_fill(spark, sf):
+    capacities = table(spark, sf, "pack_runs").select(F.col("sequence_length").alias("row_length")).distinct().withColumn("capacity", F.col("row_length"))
+    return binpack.fill(_packed_conversations(spark, sf), "row_length", capacities)
+
+
+@query(
+    "p3_row_audit",
+    """
+    WITH p AS (SELECT DISTINCT example_id, run_id, seq_no, input_ids, labels FROM packed_examples),
+    j AS (SELECT p.*, r.pad_id, r.sequence_length FROM p JOIN pack_runs r USING (run_id))
+    SELECT example_id, run_id, seq_no, len(input_ids)::INT AS places, (sequence_length - len(input_ids))::INT AS missing_places,
+      len(list_filter(input_ids, lambda x: x = pad_id))::INT AS pads,
+      len(list_filter(labels, lambda x: x <> -100))::INT AS labelled,
+      (len(input_ids) = len(labels)) AS same_length FROM j
+    """,
+)
+def p3_row_audit(spark, sf):
+    """Places, padding and labels of every packed row; repeated rows count once."""
+    p = table(spark, sf, "packed_examples").select("example_id", "run_id", "seq_no", "input_ids", "labels").dropDuplicates(["example_id"])
+    j = p.join(broadcast_runs(spark, sf), "run_id")
+    return j.select(
+        "example_id", "run_id", "seq_no", F.size("input_ids").alias("places"), (F.col("sequence_length") - F.size("input_ids")).alias("missing_places"),
+        F.size(F.filter("input_ids", lambda x: x == F.col("pad_id"))).alias("pads"), F.size(F.filter("labels", lambda x: x != -100)).alias("labelled"),
+        (F.size("input_ids") == F.size("labels")).alias("same_length"),
+    )
+
+
+def broadcast_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return broadcast_if_small(table(spark, sf, "pack_runs").select("run_id", "pad_id", "sequence_length"), 100_000)
+
+
 # 4. Prompt and response pairs
 
 
