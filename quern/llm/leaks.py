@@ -14,11 +14,13 @@ its index of q-grams is sent to the tasks, which read the documents once, whole,
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,15 +223,16 @@ def find_leaks(documents: DataFrame, items: DataFrame, document: str = "doc_id",
     results = []
     for block in range(blocks):
         part = chosen.where(F.pmod(F.xxhash64("__p"), F.lit(blocks)) == block) if blocks > 1 else chosen
-        shared = sc.broadcast(indexes(targets([tuple(r) for r in part.collect()], s), s.edits))
+        shared = sc.broadcast(cloudpickle.dumps(indexes(targets([tuple(r) for r in part.collect()], s), s.edits)))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            held = pickle.loads(shared.value)
             for whole in batches:
                 for start in range(0, whole.num_rows, 500):
                     b = whole.slice(start, 500)
                     ids, texts = b.column("__id"), b.column("__text").to_pylist()
                     rows, out = [], []
-                    for index in shared.value:
+                    for index in held:
                         for d, of, regions, edits in scan(texts, index):
                             n = regions + s.min_words - 1 if of.part == "passage" else of.text.count(" ") - 1
                             for i in of.items:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.words import gpt2_token_count
-from quern.llm import binpack, leaks, minhash, pairs, quality
-from quern.session import broadcast_if_small, table
+from quern.llm import binpack, leaks, minhash, mixing, pairs, quality
+from quern.session import broadcast_if_small, checkpointed, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -149,3 +149,51 @@ def p5_found(spark, sf):
 def p5_leaks(spark, sf):
     """Leaks with up to one edited character, by the part of the item."""
     return _leaks(spark, sf)
+
+
+# 6. Mixing
+
+#: The size of a source in the SQL: the pieces of GPT-2's split pattern. A mark before the last blank of each run
+#: stands for the pattern's look-ahead.
+_TOKENS_SQL = r"""
+    sizes AS (
+      SELECT lower(trim(source)) AS source, sum(len(regexp_extract_all(
+          regexp_replace(coalesce(text, ''), '([\s\x{85}\p{Z}])([^\s\x{85}\p{Z}])', chr(57344) || '\1\2', 'g'),
+          '''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\x{85}\p{Z}\p{L}\p{N}\x{E000}]+|[\s\x{85}\p{Z}]+')))::BIGINT AS source_tokens
+      FROM documents WHERE source IS NOT NULL GROUP BY 1),
+    plan AS (
+      SELECT m.mix_name, m.source, m.weight, m.max_repeats, coalesce(s.source_tokens, 0) AS source_tokens,
+        m.weight / sum(m.weight) OVER (PARTITION BY mix_name) * sum(coalesce(s.source_tokens, 0)) OVER (PARTITION BY mix_name) AS target_tokens,
+        coalesce(s.source_tokens, 0) * m.max_repeats AS capacity_tokens
+      FROM (SELECT mix_name, lower(trim(source)) AS source, max(weight) AS weight, max(max_repeats) AS max_repeats FROM mix_plan GROUP BY 1, 2) m LEFT JOIN sizes s USING (source))
+"""
+
+
+def _mix_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    docs = checkpointed(mixing.sized_documents(table(spark, sf, "documents").select("doc_id", "text", "source")))
+    sizes = docs.groupBy("source").agg(F.sum("tokens").alias("source_tokens"))
+    return docs, checkpointed(mixing.plan(table(spark, sf, "mix_plan"), sizes))
+
+
+@query("p6_found", "WITH " + _TOKENS_SQL + "SELECT mix_name, source FROM plan WHERE capacity_tokens < target_tokens")
+def p6_found(spark, sf):
+    docs, planned = _mix_inputs(spark, sf)
+    return mixing.shares(mixing.mix(docs, planned), planned).where("short").select("mix_name", "source")
+
+
+@query("p6_plan", "WITH " + _TOKENS_SQL + "SELECT mix_name, source, weight, max_repeats, source_tokens::BIGINT AS source_tokens, round(target_tokens, 3) AS target_tokens, capacity_tokens::BIGINT AS capacity_tokens FROM plan")
+def p6_plan(spark, sf):
+    _, planned = _mix_inputs(spark, sf)
+    return planned.withColumn("target_tokens", F.round("target_tokens", 3))
+
+
+@query("p6_shares")
+def p6_shares(spark, sf):
+    docs, planned = _mix_inputs(spark, sf)
+    return mixing.shares(mixing.mix(docs, planned), planned)
+
+
+@query("p6_mix")
+def p6_mix(spark, sf):
+    docs, planned = _mix_inputs(spark, sf)
+    return mixing.mix(docs, planned).withColumnRenamed("doc", "doc_id")
