@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.words import gpt2_token_count
-from quern.llm import binpack, leaks, minhash, mixing, pairs, quality
+from quern.llm import binpack, leaks, minhash, mixing, pairs, quality, stuffing
 from quern.session import broadcast_if_small, checkpointed, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,21 @@ def p6_shares(spark, sf):
 def p6_mix(spark, sf):
     docs, planned = _mix_inputs(spark, sf)
     return mixing.mix(docs, planned).withColumnRenamed("doc", "doc_id")
+
+
+# 7. Keyword-stuffed pages
+
+
+def _stuffed(spark: SparkSession, sf: str) -> DataFrame:
+    pages = checkpointed(stuffing.curves(table(spark, sf, "documents").select("doc_id", "text")))
+    return stuffing.stuffed_pages(pages).withColumnRenamed("page", "doc_id")
+
+
+@query("p7_found")
+def p7_found(spark, sf):
+    return _stuffed(spark, sf).where("stuffed").select("doc_id").distinct()
+
+
+@query("p7_curves")
+def p7_curves(spark, sf):
+    return _stuffed(spark, sf)
