@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
+MODULES = ("text_queries", "corpus_queries")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -26,7 +28,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from quern.plans import corpus_queries  # noqa: F401
+    for name in MODULES:
+        importlib.import_module(f"quern.plans.{name}")
 
 
 def queries() -> dict[str, Query]:
