@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quern.functions.text import BLANK, BLANKS, is_blank
+from quern.functions.text import BLANK, BLANKS, NOT_BLANKS, is_blank
+from quern.session import let
 
 #: Characters a token by kind of content.
 CHARS_PER_TOKEN = {"code": 3.2, "social": 3.5, "dialogue": 3.8, "news": 3.9, "literature": 4.2, "technical": 4.5}
@@ -16,17 +17,19 @@ def smart_estimate(text: Column, chars_per_token: float = 4.0) -> Column:
 
     0 for null or blank texts, else 1 at least. Sums are taken in doubles in a fixed order.
     """
-    words = F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
-    n = F.size(words)
-    mean = F.when(n > 0, F.length(F.array_join(words, "")).cast("double") / n).otherwise(5.0)
-    long_words = F.lit(1.0) + F.greatest(F.lit(0.0), mean - 5.0) * 0.02
-    variety = F.least(F.lit(1.2), F.lit(0.8) + F.size(F.array_distinct(F.split(F.lower(text), ""))).cast("double") / 100.0)
-    punctuation = F.regexp_count(text, F.lit("[.!?;:,]")).cast("double") * 0.5
-    numbers = F.size(F.filter(words, lambda w: w.rlike(r"^\p{Nd}+$"))).cast("double") * 0.3
-    pieces = F.size(F.filter(F.split(text, BLANKS), lambda w: w != ""))
-    gaps = F.greatest(F.lit(0), F.regexp_count(text, F.lit(BLANKS)) - pieces).cast("double") * 0.1
-    value = F.length(text).cast("double") / chars_per_token * long_words * variety + punctuation + numbers - gaps
-    return F.when(is_blank(text), 0).otherwise(F.greatest(F.lit(1), F.floor(value))).cast("bigint")
+    def estimated(words: Column) -> Column:
+        n = F.size(words)
+        mean = F.when(n > 0, F.length(F.array_join(words, "")).cast("double") / n).otherwise(5.0)
+        long_words = F.lit(1.0) + F.greatest(F.lit(0.0), mean - 5.0) * 0.02
+        variety = F.least(F.lit(1.2), F.lit(0.8) + F.size(F.array_distinct(F.split(F.lower(text), ""))).cast("double") / 100.0)
+        punctuation = F.regexp_count(text, F.lit("[.!?;:,]")).cast("double") * 0.5
+        numbers = F.size(F.filter(words, lambda w: w.rlike(r"^\p{Nd}+$"))).cast("double") * 0.3
+        gaps = F.greatest(F.lit(0), F.regexp_count(text, F.lit(BLANKS)) - F.regexp_count(text, F.lit(NOT_BLANKS))).cast("double") * 0.1
+        value = F.length(text).cast("double") / chars_per_token * long_words * variety + punctuation + numbers - gaps
+        return F.greatest(F.lit(1), F.floor(value)).cast("bigint")
+
+    found = F.regexp_extract_all(text, F.lit(r"((?:[A-Za-z0-9_]++|[\p{L}\p{N}_])+)"), F.lit(1))
+    return F.when(is_blank(text), F.lit(0).cast("bigint")).otherwise(let(found, estimated))
 
 
 def char_estimate(text: Column, chars_per_token: float | Column = 4.0) -> Column:
@@ -47,7 +50,7 @@ def content_sums(text: Column) -> dict[str, Column]:
     count = lambda p: F.coalesce(F.sum(F.regexp_count(text, F.lit(p))), F.lit(0)).cast("double")
     return {
         "chars": F.coalesce(F.sum(F.length(text)), F.lit(0)).cast("double"),
-        "words": F.coalesce(F.sum(F.size(F.filter(F.split(text, BLANKS), lambda w: w != ""))), F.lit(0)).cast("double"),
+        "words": count(NOT_BLANKS),
         "punctuation": count("[.,!?;:]"),
         "digits": count(r"\p{Nd}"),
         "blanks": count(BLANK),

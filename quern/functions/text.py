@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quern.session import let
+
 #: The cleaning patterns, in the order in which they are applied.
 URL = r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\(\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
 FENCED_CODE = r"```[\s\S]*?```"
@@ -16,6 +18,9 @@ CONTROL = r"[\x00-\x08\x0b-\x0c\x0e-\x1f\x7f-\x9f]"
 #: White space as Unicode has it; Java's ``\s`` and ``trim`` know ASCII only.
 BLANK = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 BLANKS = BLANK + "+"
+NOT_BLANK = BLANK.replace("[", "[^", 1)
+#: Runs of anything else; ASCII is tried first, as a negated class of this length is slow on every character.
+NOT_BLANKS = rf"(?:[!-~]++|{NOT_BLANK})+"
 
 
 def strip(text: Column) -> Column:
@@ -25,7 +30,7 @@ def strip(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """Null, empty or nothing but white space."""
-    return F.coalesce(F.length(strip(text)) == 0, F.lit(True))
+    return F.coalesce(~text.rlike(NOT_BLANK), F.lit(True))
 
 
 def strip_urls(text: Column) -> Column:
@@ -138,8 +143,7 @@ ENGLISH = (
 
 def english_share(text: Column) -> Column:
     """The share of English function words among the words between white space; null without words."""
-    w = blank_words(text)
-    return F.size(F.filter(w, lambda x: x.isin(ENGLISH))).cast("double") / F.nullif(F.size(w), F.lit(0))
+    return let(blank_words(text), lambda w: F.size(F.filter(w, lambda x: x.isin(ENGLISH))).cast("double") / F.nullif(F.size(w), F.lit(0)))
 
 
 def is_english(text: Column, language: Column | None = None, threshold: float = 0.7) -> Column:

@@ -100,7 +100,7 @@ def first_wins(bands: DataFrame) -> DataFrame:
 
 def near_first(df: DataFrame, text: str, order: str, threshold: float = 0.8, permutations: int = 128, k: int = 3) -> DataFrame:
     """Exact copies, texts without a run of ``k`` characters, and near-duplicates by character runs removed."""
-    kept = checkpointed(exact_first(df, text, order).where(F.size(char_shingles(F.col(text), k)) > 0))
+    kept = checkpointed(exact_first(df, text, order).where(F.length(F.replace(F.col(text), F.lit(" "), F.lit(""))) >= k))
     return kept.join(first_wins(minhash_bands(kept, order, char_shingles(F.col(text), k), threshold, permutations)).withColumnRenamed("ord", order), order, "left_anti")
 
 

@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import blank_words, is_blank, strip
+from quern.functions.text import BLANKS, blank_words, is_blank, strip
+from quern.session import let
 
 
 def response_quality(response: Column) -> Column:
     """0 to 1 by length, sentences, repetition and ending; 0 for null and blank responses."""
     n = F.length(response)
-    w = blank_words(response)
-    unique = F.size(F.array_distinct(w)) / F.nullif(F.size(w), F.lit(0))
+
+    def varied(w: Column) -> Column:
+        unique = F.size(F.array_distinct(w)) / F.nullif(F.size(w), F.lit(0))
+        return F.when(F.size(w) > 5, F.when(unique > 0.7, 0.2).when(unique < 0.5, -0.2).otherwise(0.0)).otherwise(0.0)
+
     score = (
         F.lit(0.5)
         + F.when(n.between(10, 200), 0.1).when(n < 5, -0.3).when(n > 300, -0.1).otherwise(0.0)
         + F.when(F.contains(response, F.lit(".")), 0.1).otherwise(0.0)
-        + F.when(F.size(w) > 5, F.when(unique > 0.7, 0.2).when(unique < 0.5, -0.2).otherwise(0.0)).otherwise(0.0)
+        + let(blank_words(response), varied)
         + F.when(response.rlike(r"[.!?\"']\z"), 0.1).otherwise(0.0)
     )
     return F.when(is_blank(response), 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)))
@@ -25,10 +29,11 @@ def response_quality(response: Column) -> Column:
 
 def repetition(response: Column) -> Column:
     """The share of neighbouring words that are equal; 0 for fewer than two words."""
-    w = F.filter(F.split(response, r"[\s\u00a0]+"), lambda x: x != "")
-    n = F.size(w)
-    equal = F.aggregate(w, F.struct(F.lit("").alias("last"), F.lit(0).alias("n")), lambda a, x: F.struct(x.alias("last"), (a["n"] + (a["last"] == x).cast("int")).alias("n")), lambda a: a["n"])
-    return F.when(n < 2, 0.0).otherwise(equal / (n - 1))
+    def repeated(w: Column) -> Column:
+        equal = F.aggregate(w, F.struct(F.lit("").alias("last"), F.lit(0).alias("n")), lambda a, x: F.struct(x.alias("last"), (a["n"] + (a["last"] == x).cast("int")).alias("n")), lambda a: a["n"])
+        return F.when(F.size(w) < 2, 0.0).otherwise(equal / (F.size(w) - 1))
+
+    return let(F.filter(F.split(response, BLANKS), lambda x: x != ""), repeated)
 
 
 def coherence(response: Column) -> Column:
@@ -40,7 +45,7 @@ def coherence(response: Column) -> Column:
 
 def is_smoke_valid(response: Column) -> Column:
     """More than 5 characters and more than 3 different words."""
-    w = F.filter(F.split(response, r"[\s\u00a0]+"), lambda x: x != "")
+    w = F.filter(F.split(response, BLANKS), lambda x: x != "")
     return F.coalesce((F.length(response) > 5) & (F.size(F.array_distinct(w)) > 3), F.lit(False))
 
 

@@ -10,18 +10,18 @@ from quern.functions.words import words
 from quern.operators import budget, dedup, filters, order
 from quern.plans import sql
 from quern.plans.registry import query
-from quern.session import checkpointed, table
+from quern.session import checkpointed, table, with_once
 
 _SOURCE = "lower(trim(source))"
 
 
-def documents(spark, sf, *cols):
-    return table(spark, sf, "documents").select("doc_id", F.expr(_SOURCE).alias("source"), *cols)
+def documents(spark, sf, *cols, heavy=False):
+    return table(spark, sf, "documents", heavy).select("doc_id", F.expr(_SOURCE).alias("source"), *cols)
 
 
 def _estimated(spark, sf):
     """Documents with a source, and their tokens estimated by length."""
-    return documents(spark, sf, estimate.char_estimate(F.col("text")).alias("tokens")).where("source is not null")
+    return documents(spark, sf, estimate.char_estimate(F.col("text")).alias("tokens"), heavy=True).where("source is not null")
 
 
 _CHARS = f"(CASE WHEN text IS NULL OR len({sql.strip('text')}) = 0 THEN 0 ELSE greatest(1, floor(len(text)::DOUBLE / 4.0::DOUBLE)) END)::BIGINT"
@@ -36,9 +36,10 @@ _CORPUS = f"""c AS (SELECT doc_id, {_SOURCE} AS source, {sql.clean('text')} AS t
 
 def corpus(spark, sf, per_source: int = 20_000):
     """Cleaned English documents of 50 to 10,000 characters, the first of each text, up to a token budget a source."""
-    d = documents(spark, sf, text.clean_text(F.col("text")).alias("text"), "lang").where("source is not null")
+    d = documents(spark, sf, "text", "lang", heavy=True).where("source is not null and lower(trim(lang)) = 'en'")
+    d = with_once(d, "text", text.clean_text(F.col("text")))
     d = d.where(filters.length_between(F.col("text")) & text.is_english(F.col("text"), F.col("lang"))).drop("lang")
-    first = dedup.exact_first(d, "text", "doc_id").withColumn("tokens", estimate.smart_estimate(F.col("text")))
+    first = with_once(dedup.exact_first(d, "text", "doc_id"), "tokens", estimate.smart_estimate(F.col("text")))
     return budget.within_budget(first, ["source"], "doc_id", "tokens", F.lit(per_source))
 
 
@@ -143,12 +144,12 @@ def dedup_across_tables(spark, sf):
 
 @query("dedup_near_characters")
 def dedup_near_characters(spark, sf):
-    return dedup.near_first(documents(spark, sf, "text").where("text is not null"), "text", "doc_id").select("doc_id")
+    return dedup.near_first(documents(spark, sf, "text", heavy=True).where("text is not null"), "text", "doc_id").select("doc_id")
 
 
 @query("dedup_near_words")
 def dedup_near_words(spark, sf):
-    return dedup.near_first_words(documents(spark, sf, "text").where("text is not null"), "text", "doc_id").select("doc_id")
+    return dedup.near_first_words(documents(spark, sf, "text", heavy=True).where("text is not null"), "text", "doc_id").select("doc_id")
 
 
 # Budgets and samples

@@ -73,7 +73,7 @@ _QUALITY = rf"""CASE WHEN response IS NULL OR len({sql.strip('response')}) = 0 T
 
 
 def _responses(spark, sf, *cols):
-    return table(spark, sf, "sft_conversations").select("conv_id", "source_dataset", *cols).distinct()
+    return table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "source_dataset", *cols).distinct()
 
 
 @query("response_quality", f"SELECT DISTINCT conv_id, round({_QUALITY}, 6) AS quality FROM sft_conversations")

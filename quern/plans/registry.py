@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-MODULES = ("text_queries", "corpus_queries", "packing_queries", "evaluation_queries", "tokenizer_queries")
+MODULES = ("text_queries", "corpus_queries", "packing_queries", "evaluation_queries", "tokenizer_queries", "streaming_queries")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -12,12 +12,12 @@ from quern.session import table
 
 
 def _docs(spark, sf, *cols):
-    return table(spark, sf, "documents").select("doc_id", *cols)
+    return table(spark, sf, "documents", heavy=True).select("doc_id", *cols)
 
 
 def _sft(spark, sf, *cols):
     """Conversations, each delivery once."""
-    return table(spark, sf, "sft_conversations").select("conv_id", *cols).distinct()
+    return table(spark, sf, "sft_conversations", heavy=True).select("conv_id", *cols).distinct()
 
 
 _ALPHABET = {

@@ -19,7 +19,7 @@ def tokenizer_path() -> str:
 
 
 def _encoded(spark, sf):
-    return tokenize.encoded(documents(spark, sf, "text").where("text is not null"), "text", tokenizer_path())
+    return tokenize.encoded(documents(spark, sf, "text", heavy=True).where("text is not null"), "text", tokenizer_path())
 
 
 @query("tokenizer_counts")

@@ -3,15 +3,26 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` of ``directory``."""
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+def table(spark: SparkSession, directory: str, name: str, heavy: bool = False) -> DataFrame:
+    """The Parquet table ``name`` of ``directory``; for ``heavy`` work on each row it is ``spread``."""
+    d = spark.read.parquet(f"{directory}/{name}.parquet")
+    return spread(d) if heavy else d
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if it comes in fewer partitions than there are cores.
+
+    A file of one row group is one task however many cores wait; only then rows are exchanged. Large inputs have more partitions and stay
+    as they are. Filters and column selections pass through to the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -43,3 +54,13 @@ def fresh(names: Iterable[str], wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often ``body`` uses it (also inside of conditions)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a costly column, evaluated once a row: filters on it aren't pushed below it and so don't evaluate it again."""
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
