@@ -37,7 +37,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _statistics(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "sft_conversations").select("conv_id", "text", "template")
+    d = table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "text", "template")
     return quality.text_statistics(d, "text", "template", keep=("conv_id",))
 
 
@@ -59,14 +59,14 @@ CONVERSATION_SETTINGS = minhash.Settings(k=3, threshold=0.70, bands=26, rows=4,
 
 @query("p2_found")
 def p2_found(spark, sf):
-    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations"), "conv_id", CONVERSATION, CONVERSATION_SETTINGS)
+    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", CONVERSATION, CONVERSATION_SETTINGS)
     return minhash.duplicate_pairs(groups).select(F.col("record_a").alias("conv_a"), F.col("record_b").alias("conv_b"))
 
 
 @query("p2_groups")
 def p2_groups(spark, sf):
     """Near-duplicates of five-word shingles at 0.8, one row a conversation."""
-    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations"), "conv_id", CONVERSATION)
+    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", CONVERSATION)
     return minhash.duplicate_groups(groups).withColumnRenamed("record", "conv_id")
 
 
@@ -129,7 +129,7 @@ def broadcast_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("p4_found")
 def p4_found(spark, sf):
-    d = table(spark, sf, "sft_conversations").select("conv_id", "prompt", "response")
+    d = table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response")
     return pairs.pair_defects(d, keep=("conv_id",)).where("defect is not null").select("conv_id", "defect").distinct()
 
 
@@ -137,7 +137,7 @@ def p4_found(spark, sf):
 
 
 def _leaks(spark: SparkSession, sf: str) -> DataFrame:
-    return leaks.find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "eval_items"))
+    return leaks.find_leaks(table(spark, sf, "documents", heavy=True).select("doc_id", "text"), table(spark, sf, "eval_items"))
 
 
 @query("p5_found")
@@ -170,7 +170,7 @@ _TOKENS_SQL = r"""
 
 
 def _mix_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    docs = checkpointed(mixing.sized_documents(table(spark, sf, "documents").select("doc_id", "text", "source")))
+    docs = checkpointed(mixing.sized_documents(table(spark, sf, "documents", heavy=True).select("doc_id", "text", "source")))
     sizes = docs.groupBy("source").agg(F.sum("tokens").alias("source_tokens"))
     return docs, checkpointed(mixing.plan(table(spark, sf, "mix_plan"), sizes))
 
@@ -203,7 +203,7 @@ def p6_mix(spark, sf):
 
 
 def _stuffed(spark: SparkSession, sf: str) -> DataFrame:
-    pages = checkpointed(stuffing.curves(table(spark, sf, "documents").select("doc_id", "text")))
+    pages = checkpointed(stuffing.curves(table(spark, sf, "documents", heavy=True).select("doc_id", "text")))
     return stuffing.stuffed_pages(pages).withColumnRenamed("page", "doc_id")
 
 
