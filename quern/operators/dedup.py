@@ -54,6 +54,7 @@ def minhash_bands(df: DataFrame, order: str, shingles: Column, threshold: float,
     b = rng.integers(0, PRIME, permutations, dtype=np.uint64)
     hashed = df.select(F.col(order).alias("__id"), F.transform(shingles, lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME))).alias("x")).where(F.size("x") > 0)
     kind = df.select(order).schema[0].dataType.simpleString()
+    mersenne, bits = np.uint64(PRIME), np.uint64(31)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,8 +64,11 @@ def minhash_bands(df: DataFrame, order: str, shingles: Column, threshold: float,
             for i in range(batch.num_rows):
                 x = values[ends[i] : ends[i + 1]].astype(np.uint64)
                 smallest = np.full(permutations, PRIME, np.uint64)
-                for at in range(0, len(x), 4096):
-                    np.minimum(smallest, ((a[:, None] * x[None, at : at + 4096] + b[:, None]) % PRIME).min(axis=1), out=smallest)
+                for at in range(0, len(x), 2048):
+                    v = a[:, None] * x[None, at : at + 2048] + b[:, None]
+                    for _ in range(2):  # modulo a Mersenne prime, up to its other name for 0
+                        v = (v & mersenne) + (v >> bits)
+                    np.minimum(smallest, v.min(axis=1), out=smallest)
                 sig = smallest[: bands * rows].reshape(bands, rows)
                 with np.errstate(over="ignore"):
                     k = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
