@@ -53,20 +53,26 @@ def p1_statistics(spark, sf):
 
 # 2. Near-duplicates
 
-CONVERSATION = F.concat(F.coalesce("prompt", F.lit("")), F.lit(" "), F.coalesce("response", F.lit("")))
+
+
+def conversation():
+    """A conversation's words: those of the prompt, a space and the response, null as empty."""
+    return F.concat(F.coalesce("prompt", F.lit("")), F.lit(" "), F.coalesce("response", F.lit("")))
+
+
 CONVERSATION_SETTINGS = minhash.Settings(k=3, threshold=0.70, bands=26, rows=4, min_words=20)
 
 
 @query("p2_found")
 def p2_found(spark, sf):
-    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", CONVERSATION, CONVERSATION_SETTINGS)
+    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", conversation(), CONVERSATION_SETTINGS)
     return minhash.duplicate_pairs(groups).select(F.col("record_a").alias("conv_a"), F.col("record_b").alias("conv_b"))
 
 
 @query("p2_groups")
 def p2_groups(spark, sf):
     """Near-duplicates of five-word shingles at 0.8, one row a conversation."""
-    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", CONVERSATION)
+    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", conversation())
     return minhash.duplicate_groups(groups).withColumnRenamed("record", "conv_id")
 
 
