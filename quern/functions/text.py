@@ -114,10 +114,10 @@ def blank_words(text: Column) -> Column:
 def char_shingles(text: Column, k: int = 3) -> Column:
     """The distinct runs of ``k`` characters of the lower-cased text without spaces; empty if it is shorter.
 
-    One pass of a look-ahead finds the overlapping runs; a lambda over positions would evaluate the text for each.
+    One pass of a look-ahead finds the overlapping runs (none from within a surrogate pair); a lambda over positions would evaluate the text for each.
     """
     t = F.replace(F.lower(text), F.lit(" "), F.lit(""))
-    return F.array_distinct(F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(t, F.lit(f"(?s)(?!\\p{{Cs}})(?=(.{{{k}}}))"), F.lit(1)))
 
 
 def word_shingles(words: Column, k: int) -> Column:
