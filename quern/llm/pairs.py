@@ -281,7 +281,9 @@ def defect(prompt: str | None, response: str | None) -> str | None:
     if is_refusal(response, len(said)):
         return "refusal"
     found = "language" if language_defect(prompt, response, said) else "truncated" if is_truncated(response, said) else None
-    return None if found and describe(response)[-1] in ("list", "table", "junk") else found
+    if found and response.count("```") % 2 == 0 and describe(response)[-1] in ("list", "table", "junk"):
+        return None
+    return found
 
 
 def pair_defects(df: DataFrame, prompt: str = "prompt", response: str = "response", keep: tuple[str, ...] | None = None) -> DataFrame:

@@ -161,6 +161,8 @@ def describe(text: str | None) -> tuple:
         kind = "prose"
     elif n_lines >= 3 and aligned >= 0.6 and cells >= 2 and n >= n_lines and prose_share < 0.5 and (delimiter != "," or mean_line < 40):
         kind = "table"
+    elif n_lines >= 4 and entries >= 0.6 * n_lines and mean_line <= 12 and letters <= 25 * n:
+        kind = "list"
     elif n >= 8 and n_lines < 3 and (common < 0.08 or top >= 0.34 or distinct < 0.2):
         kind = "junk"
     elif ink >= 20 and (per_letter >= 0.45 or n and top >= 0.5 or not n):

@@ -7,7 +7,7 @@ length*: the medians of all pages of the corpus that read as sentences, by langu
 A page of which less than half reads as sentences is flagged if
 
 * links and tags make up a fifth of its characters or more, or
-* its share of function words is less than half of the prose's (divergence), or
+* its share of function words is less than half of the prose's (divergence) and its words are repeated more than there, or
 * its curve is steeper than the prose's by far more than prose varies (slope), or fits by far worse (residual),
 
 unless numbers make up a third of its words (timetables and logs repeat units, not keywords). Vocabulary lists
@@ -48,6 +48,8 @@ class Settings:
     divergence: float = 0.5
     #: Deviations from the prose's median slope and residual, in robust standard deviations.
     deviations: float = 6.0
+    #: The same, where a page diverges.
+    repeated: float = 2.0
     #: Pages that a group of prose needs before it is used; smaller groups fall back to all languages, then all lengths.
     min_reference: int = 30
 
@@ -206,7 +208,8 @@ def stuffed_pages(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
     j = j.withColumn("common_ratio", F.coalesce(F.col("common_share") / F.nullif(F.col("common_mid"), F.lit(0.0)), F.lit(1.0)))
     enough = F.col("n_words") >= s.min_words
     listed = (F.col("prose_share") < s.prose) & (F.col("links") >= s.min_links) & (F.col("link_share") >= s.links)
-    unlike = (F.col("common_ratio") < s.divergence) | (F.col("slope_z") > s.deviations) | (F.col("residual_z") > s.deviations)
+    off = F.greatest("slope_z", "residual_z")
+    unlike = ((F.col("common_ratio") < s.divergence) & (off > s.repeated)) | (off > s.deviations)
     stuffed = (F.col("sentence_share") < s.prose) & (F.col("n_words") >= s.min_words) & unlike
     j = j.withColumn("stuffed", (F.col("number_share") < s.numbers) & (listed | stuffed))
     return j.select(*pages.columns, "slope_z", "residual_z", "common_ratio", "stuffed")
