@@ -42,8 +42,8 @@ def jsonl(spark: SparkSession, path: str | list[str], schema: str, tolerant: boo
 
 def bad_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """``(line)``: the lines that ``jsonl`` leaves out."""
-    read = spark.read.schema(f"{schema}, __bad string").option("columnNameOfCorruptRecord", "__bad").json(path)
-    return read.where("__bad is not null").select(F.col("__bad").alias("line"), *[c for c in read.columns if c != "__bad"]).select("line")
+    parsed = F.from_json("value", f"{schema}, __bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
+    return spark.read.text(path).where(F.length(F.trim("value")) > 0).where(parsed["__bad"].isNotNull()).select(F.col("value").alias("line"))
 
 
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import estimate, templates, text, words
 
-NBSP, WIDE, ZERO = " ", "　", "​"
+NBSP, WIDE, ZERO = "\u00a0", "\u3000", "\u200b"
 TEXTS = [
     None, "", " ", f"{NBSP}{WIDE}\n", "one", "See https://a.b/c?d=e&f=g now", "http://é", "```\ncode\n``` after `x` and ` left", "bell\x07 next\x85line", f"a{NBSP}{WIDE}b{ZERO}c", "https://only.url",
     "It ends. The next (one) starts! \"Quoted\" here? (Yes)\n\nNew par\nline", "e.g. The abbreviation", "1234 567", "été naïve über", "extraordinarily extraordinarily long words", "x" * 3000, "\U0001f600 emoji \U0001f600",
