@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.words import gpt2_token_count
-from quern.llm import binpack, leaks, minhash, mixing, pairs, quality, stuffing
+from quern.llm import binpack, leaks, minhash, mixing, pairs, quality, sql, stuffing
 from quern.session import broadcast_if_small, checkpointed, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,7 +63,7 @@ def conversation():
 CONVERSATION_SETTINGS = minhash.Settings(k=3, threshold=0.70, bands=26, rows=4, min_words=20)
 
 
-@query("p2_found")
+@query("p2_found", sql.P2_FOUND)
 def p2_found(spark, sf):
     groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", conversation(), CONVERSATION_SETTINGS)
     return minhash.duplicate_pairs(groups).select(F.col("record_a").alias("conv_a"), F.col("record_b").alias("conv_b"))
@@ -79,7 +79,7 @@ def p2_groups(spark, sf):
 # 3. Packing
 
 
-@query("p3_found")
+@query("p3_found", sql.P3_FOUND)
 def p3_found(spark, sf):
     return binpack.needless_cuts(table(spark, sf, "packed_examples"), table(spark, sf, "pack_runs"))
 
@@ -146,7 +146,7 @@ def _leaks(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf, "documents", heavy=True).select("doc_id", "text"), table(spark, sf, "eval_items"))
 
 
-@query("p5_found")
+@query("p5_found", sql.P5_FOUND)
 def p5_found(spark, sf):
     return _leaks(spark, sf).where("edits = 0").select("doc_id", "item_id").distinct()
 
