@@ -133,6 +133,11 @@ def sentences(text: Column, shortest: int = 5, longest: int = 2048) -> Column:
     return F.filter(F.transform(lines, strip), lambda s: F.length(s).between(shortest, longest))
 
 
+def training_sentences(text: Column, shortest: int = 5, longest: int = 2048) -> Column:
+    """Sentences for tokenizer training: those shorter than ``shortest`` left out, those longer than ``longest`` cut to it."""
+    return F.transform(sentences(text, shortest, 1 << 30), lambda s: F.substring(s, 1, longest))
+
+
 #: Words of the English word test.
 ENGLISH = (
     "the be to of and a in that have i it for not on with he as you do at this but his by from they we say her she or an will my "

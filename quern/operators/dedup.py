@@ -120,6 +120,12 @@ def near_first_words(df: DataFrame, text: str, order: str, threshold: float = 0.
     return long.unionByName(exact_first(short, text, order) if short_exact else short)
 
 
+def lsh_first(df: DataFrame, text: str, order: str, threshold: float = 0.85, permutations: int = 128) -> DataFrame:
+    """Near-duplicates by sets of words removed, without the exact step and without an exemption for short texts: texts without words stay."""
+    bands = minhash_bands(df.where(F.col(text).isNotNull()), order, F.array_distinct(blank_words(F.col(text))), threshold, permutations)
+    return df.join(first_wins(bands).withColumnRenamed("ord", order), order, "left_anti")
+
+
 def dedup_statistics(before: DataFrame, after: DataFrame) -> DataFrame:
     """Documents processed, unique and duplicate, and the duplicates' share of those processed."""
     n = before.agg(F.count("*").alias("processed")).crossJoin(after.agg(F.count("*").alias("unique_docs")))

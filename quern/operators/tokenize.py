@@ -95,6 +95,15 @@ def grade(score):
     return F.when(score >= 90, "A").when(score >= 80, "B").when(score >= 70, "C").when(score >= 60, "D").otherwise("F")
 
 
+def throughput(df: DataFrame, text: str, tokens: str | None = None):
+    """``(df, observation)``: what passes through ``df`` is counted while an action runs; ``observation.get`` then has docs, chars and tokens, to be divided by the seconds."""
+    from pyspark.sql import Observation
+
+    o = Observation()
+    sums = [F.count("*").alias("docs"), F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("chars"), *([F.coalesce(F.sum(tokens), F.lit(0)).alias("tokens")] if tokens else [])]
+    return df.observe(o, *sums), o
+
+
 def dataset_score(accuracy_percent, unknown_percent, distribution_good, samples_good):
     """The weighted score of a dataset's token counts: accuracy, unknown tokens, length distribution and sample round trips."""
     step = lambda c: F.when(c, 100.0).otherwise(70.0)

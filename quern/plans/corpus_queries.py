@@ -152,6 +152,11 @@ def dedup_near_words(spark, sf):
     return dedup.near_first_words(documents(spark, sf, "text", heavy=True).where("text is not null"), "text", "doc_id").select("doc_id")
 
 
+@query("dedup_lsh_only")
+def dedup_lsh_only(spark, sf):
+    return dedup.lsh_first(documents(spark, sf, "text", heavy=True), "text", "doc_id").select("doc_id")
+
+
 # Budgets and samples
 
 

@@ -84,6 +84,15 @@ def text_sentences(spark, sf):
     return _docs(spark, sf, "text").select("doc_id", F.explode(text.sentences(F.col("text"))).alias("sentence"))
 
 
+@query(
+    "text_training_sentences",
+    rf"""WITH p AS (SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?]){sql.BL}+([A-Z"''(\[])', '\1' || chr(1) || '\2', 'g'), '[\x01\n]') AS parts FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, substr(s, 1, 120) AS sentence FROM (SELECT doc_id, unnest(parts) AS raw FROM p), LATERAL (SELECT {sql.strip('raw')} AS s) WHERE len(s) >= 20""",
+)
+def text_training_sentences(spark, sf):
+    return _docs(spark, sf, "text").select("doc_id", F.explode(text.training_sentences(F.col("text"), 20, 120)).alias("sentence"))
+
+
 @query("text_blank_words", f"SELECT doc_id, count(*) AS n, count(DISTINCT w) AS n_distinct FROM (SELECT doc_id, unnest({sql.pieces('lower(text)')}) AS w FROM documents) GROUP BY doc_id")
 def text_blank_words(spark, sf):
     w = text.blank_words(F.col("text"))

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from quern.functions.words import words
+from quern.functions.words import gpt2_token_count, words
 from quern.operators import pack, tokenize
 from quern.operators.shards import capped_shards
 from quern.plans.corpus_queries import documents
@@ -59,6 +59,14 @@ def tokenizer_quality(spark, sf):
     return s.withColumn("score", score).withColumn("grade", tokenize.grade(F.col("score")))
 
 
+@query("tokenizer_dataset_score")
+def tokenizer_dataset_score(spark, sf):
+    """How well the recorded token counts of each source agree with GPT-2's pieces, and the score that follows."""
+    d = documents(spark, sf, "exact_tokens", gpt2_token_count(F.col("text")).alias("n"), heavy=True).where("source is not null and exact_tokens > 0")
+    g = d.groupBy("source").agg((F.lit(100.0) - F.abs(F.sum("exact_tokens") - F.sum("n")) * 100.0 / F.greatest(F.sum("n"), F.lit(1))).alias("accuracy"), F.stddev_pop("n").alias("deviation"), F.avg("n").alias("mean"))
+    return g.select("source", "accuracy", tokenize.dataset_score(F.col("accuracy"), F.lit(0.0), F.col("deviation") < 2 * F.col("mean"), F.col("accuracy") > 90).alias("score"))
+
+
 @query("pack_pretraining")
 def pack_pretraining(spark, sf):
     """Documents of each source encoded, made one stream and cut into rows of 512 tokens."""
