@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,20 +135,28 @@ def shard_quotas(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     return work.mapInArrow(run, "mix_name string, source string, shard int, first bigint, n bigint")
 
 
-def mix(docs: DataFrame, planned: DataFrame, shards: int = 16, block_tokens: int = 20_000, seed: int = 42) -> DataFrame:
+def shard_count(planned: DataFrame, tokens_per_shard: int) -> int:
+    """Shards that hold about ``tokens_per_shard`` tokens of the largest mix each."""
+    size = F.sum(F.least(F.col("target_tokens"), F.col("capacity_tokens").cast("double")))
+    largest = planned.groupBy("mix_name").agg(size.alias("n")).agg(F.max("n")).first()[0]
+    return max(4, math.ceil((largest or 0) / tokens_per_shard))
+
+
+def mix(docs: DataFrame, planned: DataFrame, shards: int | None = None, block_tokens: int = 20_000, tokens_per_shard: int = 20_000_000, seed: int = 42) -> DataFrame:
     """``(mix_name, shard, position, doc, source, copy, tokens)``: every mix, shuffled and cut into shards.
 
     A source that can't reach its target gives all it may (``max_repeats`` copies). Every copy of a document is in
-    one place only. The same input and seed give the same mix. Empty documents or plans give an empty mix.
+    one place only. The same input and seed give the same mix. Without ``shards`` their number follows from
+    ``tokens_per_shard``, so that shards don't grow with the mix. Empty documents or plans give an empty mix.
     """
+    shards = shards or shard_count(planned, tokens_per_shard)
     drawn = checkpointed(draw(docs, planned, block_tokens, seed))
     taken = drawn.select("mix_name", "source", "copy", "block").distinct().withColumn("at", _unit(F.lit(seed + 3), "mix_name", "source", "copy", "block")).withColumn("one", F.lit(1))
     ranked = checkpointed(running_sum(taken, ["mix_name", "source"], "at", "one", "rank"))
     quotas = shard_quotas(ranked.groupBy("mix_name", "source").agg(F.count("*").alias("n_blocks")), shards, seed)
-    # a block's shard: its rank lies in the shard's stretch. Few stretches a source (the shards), sent as one array
-    stretches = quotas.groupBy("mix_name", "source").agg(F.sort_array(F.collect_list(F.struct("first", "n", "shard"))).alias("stretches"))
-    placed = ranked.join(broadcast_if_small(checkpointed(stretches), 10_000), ["mix_name", "source"]).withColumn("mine", F.filter("stretches", lambda x: (x["first"] <= F.col("rank")) & (F.col("rank") < x["first"] + x["n"])))
-    placed = placed.select("mix_name", "source", "copy", "block", F.get("mine", F.lit(0))["shard"].alias("shard"))
+    # the stretches of ranks that the shards get, rank by rank: one row a block
+    by_rank = quotas.select("mix_name", "source", "shard", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("rank"))
+    placed = ranked.withColumn("rank", F.col("rank").cast("bigint")).join(by_rank, ["mix_name", "source", "rank"]).select("mix_name", "source", "copy", "block", "shard")
     local = Window.partitionBy("mix_name", "shard").orderBy(F.xxhash64(F.lit(seed + 4), "doc", "copy"), "doc", "copy")
     joined = drawn.join(placed, ["mix_name", "source", "copy", "block"])
     return joined.select("mix_name", "shard", (F.row_number().over(local) - 1).alias("position"), "doc", "source", "copy", "tokens")
