@@ -163,6 +163,8 @@ def describe(text: str | None) -> tuple:
         kind = "table"
     elif n_lines >= 4 and entries >= 0.6 * n_lines and mean_line <= 12 and letters <= 25 * n:
         kind = "list"
+    elif n_lines < 3 and ink >= 40 and sum(len(w) for w in text.split() if len(w) > 40) >= 0.5 * ink:
+        kind = "junk"
     elif n >= 8 and n_lines < 3 and (common < 0.08 or top >= 0.34 or distinct < 0.2):
         kind = "junk"
     elif ink >= 20 and (per_letter >= 0.45 or n and top >= 0.5 or not n):
