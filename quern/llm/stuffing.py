@@ -10,7 +10,8 @@ A page of which less than half reads as sentences is flagged if
 * its share of function words is less than half of the prose's (divergence) and its words are repeated more than there, or
 * its curve is steeper than the prose's by far more than prose varies (slope), or fits by far worse (residual),
 
-unless numbers make up a third of its words (timetables and logs repeat units, not keywords). Vocabulary lists
+or if it reads as sentences, but its curve is steeper by as much and fits far worse as well; for such a page every sentence counts once, so
+that refrains don't look like keywords; unless numbers make up a third of its words (timetables and logs repeat units, not keywords). Vocabulary lists
 and glossaries repeat articles, not content words; the curve is that of the content words.
 """
 
@@ -34,6 +35,7 @@ _TAG = re.compile(r"<[^<>]{1,300}>")
 #: Stands for each character of a link; no letter, digit or blank.
 _GONE = "\ufffc"
 _LIKELY = re.compile(r"://|www\.|#\w|<a\s|\w\.(?:com|org|net|info|biz|shop|io|co|de|fr|es|uk|eu|example|test|invalid)\b")
+_PART = re.compile(r"(?<=[.!?])\s+|\n+")
 #: A single function word stands for at most this share of a page's words, so that no keyword passes for one.
 _MOST_OF_ONE = 0.15
 
@@ -50,6 +52,9 @@ class Settings:
     deviations: float = 6.0
     #: The same, where a page diverges.
     repeated: float = 2.0
+    #: Keywords in the guise of sentences: words that such a page needs, and how much worse its curve must fit besides being steeper.
+    min_disguised: int = 30
+    disguised: float = 3.0
     #: Pages that a group of prose needs before it is used; smaller groups fall back to all languages, then all lengths.
     min_reference: int = 30
 
@@ -112,7 +117,6 @@ def measure(text: str) -> tuple:
     mass: dict[str, float] = {}
     numbers = 0
     spectrum: Counter[int] = Counter()
-    content = 0
     most = _MOST_OF_ONE * n
     for w, c in counts.items():
         if w in LANGUAGES_OF:
@@ -120,22 +124,28 @@ def measure(text: str) -> tuple:
                 mass[lang] = mass.get(lang, 0.0) + min(c, most)
         else:
             spectrum[c] += 1
-            content += c
             if w[0] in "0123456789":
                 numbers += c
     language = min(mass, key=lambda x: (-mass[x], x)) if mass else None
     ink = max(1, len(text) - sum(map(text.count, " \n\t\r")))
-    freqs = sorted(spectrum, reverse=True)
     n1 = max(1, n)
     prose = _sentences(rest)
+    curve = n
+    if prose >= 0.5 * n1:
+        parts = [x for x in _PART.split(rest) if x]
+        once = dict.fromkeys(parts)
+        if len(once) < len(parts):  # a refrain repeats its lines, not keywords
+            words = WORD.findall(" ".join(once).lower())
+            curve = len(words)
+            spectrum = Counter(Counter(w for w in words if w not in LANGUAGES_OF).values())
     return (
-        language, n, content, prose / n1, prose / (n1 + linked / 6), mass[language] / n1 if mass else 0.0, numbers / n1, links, linked / ink,
-        freqs, [spectrum[f] for f in freqs],
+        language, n, curve, prose / n1, prose / (n1 + linked / 6), mass[language] / n1 if mass else 0.0, numbers / n1, links, linked / ink,
+        freqs := sorted(spectrum, reverse=True), [spectrum[f] for f in freqs],
     )
 
 
 _FIELDS = (
-    ("language", pa.string(), "string"), ("n_words", pa.int32(), "int"), ("n_content", pa.int32(), "int"), ("prose_share", pa.float64(), "double"), ("sentence_share", pa.float64(), "double"), ("common_share", pa.float64(), "double"),
+    ("language", pa.string(), "string"), ("n_words", pa.int32(), "int"), ("curve_words", pa.int32(), "int"), ("prose_share", pa.float64(), "double"), ("sentence_share", pa.float64(), "double"), ("common_share", pa.float64(), "double"),
     ("number_share", pa.float64(), "double"), ("links", pa.int32(), "int"), ("link_share", pa.float64(), "double"), ("freqs", pa.list_(pa.int32()), "array<int>"), ("types", pa.list_(pa.int32()), "array<int>"),
 )
 
@@ -184,7 +194,7 @@ def stuffed_pages(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
     The prose of each language and length is described by medians and quartiles, of fixed size however many pages
     there are; languages without prose use that of all.
     """
-    p = pages.withColumn("size", F.floor(F.log2(F.greatest("n_words", F.lit(1)).cast("double")) * 2).cast("int"))
+    p = pages.withColumn("size", F.floor(F.log2(F.greatest("curve_words", F.lit(1)).cast("double")) * 2).cast("int"))
     prose = p.where((F.col("prose_share") >= 0.8) & (F.col("n_words") >= 2 * s.min_words))
 
     def described(*keys: str) -> DataFrame:
@@ -211,5 +221,6 @@ def stuffed_pages(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
     off = F.greatest("slope_z", "residual_z")
     unlike = ((F.col("common_ratio") < s.divergence) & (off > s.repeated)) | (off > s.deviations)
     stuffed = (F.col("sentence_share") < s.prose) & (F.col("n_words") >= s.min_words) & unlike
-    j = j.withColumn("stuffed", (F.col("number_share") < s.numbers) & (listed | stuffed))
+    disguised = (F.col("curve_words") >= s.min_disguised) & (F.col("slope_z") > s.deviations) & (F.col("residual_z") > s.disguised)
+    j = j.withColumn("stuffed", (F.col("number_share") < s.numbers) & (listed | stuffed | disguised))
     return j.select(*pages.columns, "slope_z", "residual_z", "common_ratio", "stuffed")

@@ -277,11 +277,12 @@ def test_stuffing(spark):
     spam = [
         "\n".join(f"best {rng.choice(['boat', 'lamp'])} cheap lamp buy boat" for _ in range(20)), ", ".join(f"cheap {rng.choice(['lamp', 'boat'])}" for _ in range(60)), "\n".join(f"https://a{i}.example/x/y{i}.html" for i in range(20)), " ".join(f"#lamp{i % 4} #boat" for i in range(30)),
         "<ul>" + "".join(f'<li><a href="http://a.test/{i}">lamp boat</a></li>' for i in range(20)) + "</ul>", "\n".join(f"What is the price of a {rng.choice(nouns)} in … https://b{i}.test/q" for i in range(15)), "\n".join(rng.choice(["where to buy the lamp in town", "is a lamp from town any good", "the best lamp of the year", "lamp for sale in town"]) for _ in range(30)),
+        " ".join(rng.choice(["where to buy the lamp in town.", "is a lamp from town any good.", "the best lamp of the year.", "lamp for sale in town.", "the price of a lamp in the town.", "the lamp or the boat for the home.", "how to find a lamp near the town."][:k]) for k in (7,) for _ in range(7)) + " the lamp is a lamp for the town and the lamp of a town." + "".join(f" the {w} lamp in the town of the lamp." for w in ("new", "best", "top", "cheap", "rated", "free", "fast", "old")),
         sentence() + "\n\n" + " ".join(f"best {rng.choice(['lamp', 'boat'])} top boat." for _ in range(60)),
     ]
     fine = [
         "\n".join(f"{h:02d}:15  {rng.choice(nouns)} > {rng.choice(nouns)}  {rng.randint(2, 90)} km" for h in range(20)), "\n".join(f"step={i * 50} loss={7 - i / 10:.4f} lr=3e-4" for i in range(30)), "\n".join(f"{n} = la {m}" for n, m in zip(sorted(rng.sample(nouns, 30)), rng.sample(nouns, 30), strict=True)),
-        prose[60] + "\n\nFurther reading:\n- https://a.example/b\n- https://c.example/d", "", "word", "A title", prose[50] + "\n" + prose[50],
+        prose[60] + "\n\nFurther reading:\n- https://a.example/b\n- https://c.example/d", "", "word", "A title", prose[50] + "\n" + prose[50], "\n".join([prose[20], prose[21], prose[20], prose[22], prose[20], prose[23], prose[20]]),
     ]
     texts = [*prose, *spam, *fine, None, spam[0]]
     d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(len(prose), spam[0])], "doc_id bigint, text string")
