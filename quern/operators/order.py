@@ -16,7 +16,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, n
 
     Two levels: the sums of ``buckets`` even ranges of ``order`` are added up first (a few rows a key), then rows are
     summed inside each range. So a key that holds any share of the rows, or no key at all, is spread over tasks. Rows of equal
-    order are summed in any order; ``order`` must not be null.
+    order are summed in any order; ``order`` must not be null. ``df`` is read twice (for the ranges, then whole): checkpoint what is
+    costly to make.
     """
     ends = df.agg(F.min(order).alias("__rs_low"), F.max(order).alias("__rs_high"))
     width = (F.col("__rs_high").cast("double") - F.col("__rs_low").cast("double") + 1.0) / buckets
