@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import bisect
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,32 +38,70 @@ def token_estimates(df: DataFrame, keys: Sequence[str], tokens: str) -> DataFram
     )
 
 
+class RunningMedian:
+    """The median of the values added so far, from a histogram of them: its size is the number of different values."""
+
+    def __init__(self) -> None:
+        self.values: list[float] = []
+        self.counts: dict[float, int] = {}
+        #: How many were added, where in ``values`` the lower median is, and how many are below it.
+        self.n = self.at = self.below = 0
+
+    def add(self, v: float) -> None:
+        if v in self.counts:
+            self.counts[v] += 1
+            self.below += v < self.values[self.at]
+        else:
+            i = bisect.bisect_left(self.values, v)
+            self.values.insert(i, v)
+            self.counts[v] = 1
+            if self.n and i <= self.at:
+                self.at, self.below = self.at + 1, self.below + 1
+        self.n += 1
+        middle = (self.n - 1) // 2
+        while self.below > middle:
+            self.at -= 1
+            self.below -= self.counts[self.values[self.at]]
+        while self.below + self.counts[self.values[self.at]] <= middle:
+            self.below += self.counts[self.values[self.at]]
+            self.at += 1
+
+    def value(self) -> float:
+        """0 if nothing was added."""
+        if not self.n:
+            return 0.0
+        low = self.values[self.at]
+        high = low if self.n % 2 or self.below + self.counts[low] > self.n // 2 else self.values[self.at + 1]
+        return (low + high) / 2
+
+
 def without_outliers(df: DataFrame, key: str, order: str, tokens: str, after: int = 10, factor: float = 10.0) -> DataFrame:
-    """The rows of each key (a bounded sample) that aren't longer than ``factor`` times the median of those kept before, once more than ``after`` are kept.
+    """The rows of each key that aren't longer than ``factor`` times the median of those kept before, once more than ``after`` are kept.
 
-    The median of what was kept so far depends on every decision before, so a key's sample is folded in order; only key, order and
-    tokens go through the fold.
+    The median of what was kept so far depends on every decision before, so each key is folded whole and in order, in one pass over key, order and
+    tokens only; what is held is a histogram of the key's token counts. Keys run in parallel, and null is a key too. Rows of null tokens are dropped.
     """
-    import bisect
-
-    import pandas as pd
-
-    types = {f.name: f.dataType.simpleString() for f in df.select(key, order).schema}
-
-    def fold(p: pd.DataFrame) -> pd.DataFrame:
-        kept: list[float] = []
-        ok = []
-        for n in p.sort_values(order)[tokens]:
-            k = len(kept)
-            middle = (kept[k // 2] if k % 2 else (kept[k // 2 - 1] + kept[k // 2]) / 2) if k else 0.0
-            good = k <= after or n <= factor * middle
-            ok.append(good)
-            if good:
-                bisect.insort(kept, n)
-        return p.sort_values(order).loc[ok, [key, order]]
-
-    good = df.select(key, order, tokens).where(F.col(tokens).isNotNull()).groupBy(key).applyInPandas(fold, f"{key} {types[key]}, {order} {types[order]}")
-    return df.join(good, [key, order], "left_semi")
+    rows = df.select(key, order, tokens).where(F.col(tokens).isNotNull()).repartition(key).sortWithinPartitions(key, order)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: object = fold  # no key equals it
+        kept = RunningMedian()
+        for b in batches:
+            good = []
+            for k, n in zip(b.column(key).to_pylist(), b.column(tokens).to_pylist(), strict=True):
+                if k != at:
+                    at, kept = k, RunningMedian()
+                good.append(kept.n <= after or n <= factor * kept.value())
+                if good[-1]:
+                    kept.add(n)
+            yield b.filter(pa.array(good, pa.bool_()))
+
+    good = rows.mapInArrow(fold, schema)
+    if set(df.columns) == {key, order, tokens}:
+        return good.select(*df.columns)
+    named = good.select(F.col(key).alias("__key"), F.col(order).alias("__order"))
+    return df.where(F.col(tokens).isNotNull()).join(named, F.col(key).eqNullSafe(F.col("__key")) & (F.col(order) == F.col("__order")), "left_semi")
 
 
 def smallest_within(df: DataFrame, keys: Sequence[str], order: str, tokens: str, target: Column) -> DataFrame:

@@ -118,8 +118,7 @@ def filter_sequence_length(spark, sf):
 
 @query("filter_outliers")
 def filter_outliers(spark, sf):
-    sample = order.head(_estimated(spark, sf), ["source"], "doc_id", 2000)
-    return budget.without_outliers(sample, "source", "doc_id", "tokens")
+    return budget.without_outliers(_estimated(spark, sf), "source", "doc_id", "tokens")
 
 
 # Deduplication

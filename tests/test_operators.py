@@ -2,12 +2,14 @@
 
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import budget, dedup, evaluate, filters, order, pack
 from quern.operators.shards import capped_shards
+from quern.plans import corpus_queries
 
 
 def frame(spark, rows, schema):
@@ -127,6 +129,23 @@ def test_outliers(spark):
     assert got == set(range(12)) | {13}
 
 
+def test_outliers_of_whole_sources(spark, tmp_path):
+    rng = random.Random(5)
+    sizes = [int(4 * 2 ** rng.uniform(0, 11)) for _ in range(2600)]
+    rows = [(i, "x" * n, "one" if i % 13 else "two") for i, n in enumerate(sizes)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    expected, kept = set(), {"one": [], "two": []}
+    for i, t, s in rows:
+        if len(kept[s]) <= 10 or len(t) // 4 <= 10 * statistics.median(kept[s]):
+            kept[s].append(len(t) // 4)
+            expected.add((i, s, len(t) // 4))
+    got = [(r.doc_id, r.source, r.tokens) for r in corpus_queries.filter_outliers(spark, str(tmp_path)).collect()]
+    assert len(got) == len(expected) < len(rows) and set(got) == expected and max(got)[0] > 2400
+    # a null key is a key, and other columns stay
+    d = spark.createDataFrame([(None, i, 10, "a") for i in range(12)] + [(None, 12, 101, "b"), (None, 13, 100, "c")], "k string, i int, n int, t string")
+    assert {(r.i, r.t) for r in budget.without_outliers(d, "k", "i", "n").collect()} == {(i, "a") for i in range(12)} | {(13, "c")}
+
+
 def test_capped_shards(spark):
     rows = [("a", 1, 5), ("a", 2, 50), ("a", 3, 1), ("a", 4, 1), ("b", 1, 1)]
     d = frame(spark, rows, "s string, o bigint, n int")
