@@ -252,25 +252,38 @@ def near_duplicates(df: DataFrame, record: str, text: Column, s: Settings = Sett
     return Groups(members, links)
 
 
-def duplicate_pairs(groups: Groups, expand_up_to: int = 1000) -> DataFrame:
+def duplicate_pairs(groups: Groups, expand_up_to: int | None = None, block: int = 1000) -> DataFrame:
     """``(record_a, record_b)``, record_a < record_b: all pairs of linked records.
 
-    Records of different, linked classes all meet. Copies in one class meet each other while the class has at
-    most ``expand_up_to`` members; in larger classes each meets the class's smallest record only, as the pairs
-    of copies would grow with the square (``duplicate_groups`` names the class of each).
+    Records of different, linked classes all meet, and so do those of one class, whose texts may differ in case, punctuation,
+    white space or repeated passages. A class is cut into blocks of about ``block`` records and each pair of blocks is joined
+    under a key of its own, so the square of a large class is spread over tasks. ``expand_up_to`` asks for less: in classes of more
+    members each meets the class's smallest record only, as ``duplicate_groups`` names it.
     """
-    m = groups.members.select("record", "class", "check")
-    linked = (
-        groups.links.join(m.select(F.col("class").alias("class_a"), F.col("record").alias("a")), "class_a")
-        .join(m.select(F.col("class").alias("class_b"), F.col("record").alias("b")), "class_b").select("a", "b")
-    )
-    sizes = m.groupBy("class", "check").agg(F.count("*").alias("size"), F.min("record").alias("rep")).where("size > 1")
-    small, large = sizes.where(F.col("size") <= expand_up_to), sizes.where(F.col("size") > expand_up_to)
-    in_small = m.join(small.select("class", "check"), ["class", "check"])
-    copies = in_small.select("class", "check", F.col("record").alias("a")).join(in_small.select("class", "check", F.col("record").alias("b")), ["class", "check"]).where("a < b").select("a", "b")
-    stars = m.join(large, ["class", "check"]).where("rep < record").select(F.col("rep").alias("a"), F.col("record").alias("b"))
-    every = linked.select(F.least("a", "b").alias("record_a"), F.greatest("a", "b").alias("record_b")).union(copies).union(stars)
-    return every.where("record_a < record_b").distinct()
+    sizes = groups.members.groupBy("class").agg(F.count("*").alias("size")).where("size > 1")
+    several = groups.members.groupBy("record").agg(F.count("*").alias("__c")).where("__c > 1").select("record", F.lit(True).alias("several"))
+    blocks = F.coalesce(F.ceil(F.col("size") / block), F.lit(1)).cast("int")
+    m = groups.members.join(sizes, "class", "left").join(several, "record", "left").withColumn("blocks", blocks).withColumn("at", F.pmod(F.xxhash64("record"), "blocks").cast("int"))
+    m = checkpointed(m)
+    every_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+
+    cut = m.where("blocks > 1").select("class", "blocks").distinct()
+    links = groups.links.select("class_a", "class_b")
+    for x in "ab":
+        links = links.join(cut.withColumnRenamed("class", f"class_{x}"), f"class_{x}", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn(f"at_{x}", every_block).drop("blocks")
+    of = {x: m.select(F.col("class").alias(f"class_{x}"), F.col("at").alias(f"at_{x}"), F.col("record").alias(x)) for x in "ab"}
+    linked = links.join(of["a"], ["class_a", "at_a"]).join(of["b"], ["class_b", "at_b"])
+
+    inside = m.where("size > 1" if expand_up_to is None else f"size > 1 and size <= {expand_up_to:d}")
+    left = inside.select("class", "check", F.col("at").alias("at_a"), every_block.alias("at_b"), F.col("record").alias("a"))
+    right = inside.select("class", "check", every_block.alias("at_a"), F.col("at").alias("at_b"), F.col("record").alias("b"))
+    pairs = linked.select(F.least("a", "b").alias("record_a"), F.greatest("a", "b").alias("record_b")).union(left.join(right, ["class", "check", "at_a", "at_b"]).where("a < b").select("a", "b"))
+    if expand_up_to is not None:
+        large = m.where(F.col("size") > expand_up_to).select("class", "check", "record")
+        pairs = pairs.union(large.join(large.groupBy("class", "check").agg(F.min("record").alias("rep")), ["class", "check"]).select("rep", "record"))
+    pairs = pairs.where("record_a < record_b")
+    # A pair can come twice only if one of its records is in several classes: without any, the pairs aren't shuffled once more.
+    return pairs if m.where("several").isEmpty() else pairs.distinct()
 
 
 def duplicate_groups(groups: Groups) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators for training data: against brute force, exact round trips, and edge cases."""
 
 import itertools
+import math
 import random
 import re
 
@@ -89,6 +90,30 @@ def test_near_duplicates(spark):
     assert minhash.duplicate_pairs(empty).count() == 0 and minhash.duplicate_groups(empty).count() == 0
 
 
+def test_pairs_of_a_large_class(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    variants = [words, words.upper(), words.replace(" ", ",\n"), words + "!"]
+    rows = [(i, variants[i % 4]) for i in range(1100)] + [(2000 + i, words + " more") for i in range(3)]
+    d = spark.createDataFrame(rows, "i bigint, t string").repartition(4)
+    groups = minhash.near_duplicates(d, "i", F.col("t"), minhash.Settings(k=3, threshold=0.7, bands=26, rows=4, min_words=20))
+    ids = sorted(i for i, _ in rows)
+    for block in (1000, 300):
+        got = minhash.duplicate_pairs(groups, block=block).toPandas()
+        assert len(got) == math.comb(len(ids), 2) == len(got.drop_duplicates()) and (got.record_a < got.record_b).all() and set(got.record_a) | set(got.record_b) == set(ids)
+
+
+def test_pairs_in_blocks(spark):
+    # 9 is in two classes, which are linked to each other and to a third
+    members = [(i, c, 0) for c, of in {1: range(5), 2: range(5, 10), 3: [9, 20, 21], 4: [30], 5: range(40, 47)}.items() for i in of]
+    links = [(1, 2, 0.9), (2, 3, 0.8), (3, 4, 0.8)]
+    groups = minhash.Groups(spark.createDataFrame(members, "record bigint, class bigint, check bigint"), spark.createDataFrame(links, "class_a bigint, class_b bigint, similarity double"))
+    linked = {(a, b) for a, b, _ in links}
+    expected = {(a, b) for a, c, _ in members for b, e, _ in members if a < b and (c == e or (c, e) in linked or (e, c) in linked)}
+    for block in (1, 2, 3, 1000):
+        got = [tuple(r) for r in minhash.duplicate_pairs(groups, block=block).collect()]
+        assert len(got) == len(expected) and set(got) == expected
+
+
 def test_probminhash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     a, b = rng.integers(1, 2**63, 200, dtype=np.uint64), rng.integers(1, 2**63, 100, dtype=np.uint64)
