@@ -10,7 +10,8 @@ proportional to its length. What is measured:
   lines' indents and lengths at lags 1 to 6, high where a layout repeats;
 * the share of words in paragraphs that read as sentences.
 
-``kind`` is decided from these: ``prose``, ``list``, ``table``, ``junk`` or ``short``.
+``kind`` is decided from these: ``prose``, ``list``, ``table``, ``junk`` or ``short``. Periodic indents or lengths of lines that
+mostly don't end as sentences make a table if lines in the same place of the period are aligned, else a list.
 """
 
 from __future__ import annotations
@@ -54,16 +55,16 @@ _RULE = re.compile(r"[\s|:+=-]+")
 DELIMITERS = ("|", "\t", ";", ",")
 
 
-def _autocorrelation(values: list[int]) -> float:
-    """The largest autocorrelation at lags 1 to 6; 0 for fewer than 4 values or a constant series."""
+def _autocorrelation(values: list[int]) -> tuple[float, int]:
+    """The largest autocorrelation at lags 1 to 6 and its lag; 0 for fewer than 4 values or a constant series."""
     if len(values) < 4:
-        return 0.0
+        return 0.0, 1
     x = np.asarray(values, dtype=float)
     x -= x.mean()
     var = float(x @ x)
     if var <= 1e-9:
-        return 0.0
-    return max(float(x[:-k] @ x[k:]) / var for k in range(1, min(6, len(x) - 2) + 1))
+        return 0.0, 1
+    return max((float(x[:-k] @ x[k:]) / var, k) for k in range(1, min(6, len(x) - 2) + 1))
 
 
 def _alignment(lines: list[str]) -> tuple[float, float, str]:
@@ -83,7 +84,7 @@ def _alignment(lines: list[str]) -> tuple[float, float, str]:
     gapped = 0
     for x in lines:
         at = {m.end() for m in _GAP.finditer(x)}
-        gapped += bool(at)
+        gapped += bool(at - {len(x) - len(x.lstrip())})  # an indent alone makes no cells
         starts.update(at)
     if gapped >= 0.6 * n:
         columns = {p for p, c in starts.items() if c >= max(2, 0.25 * n)}
@@ -93,6 +94,12 @@ def _alignment(lines: list[str]) -> tuple[float, float, str]:
     return best
 
 
+def _aligned_in_turn(lines: list[str], lag: int) -> bool:
+    """Whether at least half of the lines are rows of cells, if only every ``lag``-th line is compared."""
+    turns = [lines[i::lag] for i in range(lag)]
+    return 2 * sum(len(x) for x in turns if (a := _alignment(x))[0] >= 0.8 and a[1] >= 2) >= len(lines)
+
+
 def _reads_as_sentences(text: str, found: list[str]) -> bool:
     if len(found) < 4:
         return False
@@ -121,8 +128,8 @@ def describe(text: str | None) -> tuple:
     lines = [x.strip() for x in raw_lines]
     enders = sum(bool(_ENDS.search(x)) for x in lines) / n_lines
     aligned, cells, delimiter = _alignment(raw_lines)
-    indents = _autocorrelation([len(x) - len(x.lstrip()) for x in raw_lines])
-    lengths = _autocorrelation([len(x) for x in raw_lines])
+    indents, indent_lag = _autocorrelation([len(x) - len(x.lstrip()) for x in raw_lines])
+    lengths, length_lag = _autocorrelation([len(x) for x in raw_lines])
 
     # Words in paragraphs of sentences. Marked entries stand alone; other lines go on until a blank
     # line, so that sentences broken over lines are read whole.
@@ -157,6 +164,9 @@ def describe(text: str | None) -> tuple:
 
     mean_line = n / n_lines
     per_letter = symbols / ink
+    # A layout that repeats and isn't sentences. Lengths that are alike at lag 1 only drift, and of random ones
+    # (6 to 14 lines) 3 % reach 0.5 at another lag, under 1 % 0.6.
+    repeats = n_lines >= 6 and n >= n_lines and enders <= 0.5 and prose_share < 0.5 and (indents >= 0.5 or lengths >= 0.6 and length_lag > 1)
     if prose_share >= 0.5 and per_letter < 0.3 and top < 0.34:
         kind = "prose"
     elif n_lines >= 3 and aligned >= 0.6 and cells >= 2 and n >= n_lines and prose_share < 0.5 and (delimiter != "," or mean_line < 40):
@@ -171,7 +181,9 @@ def describe(text: str | None) -> tuple:
         kind = "junk"
     elif n >= 1 and letters / n > 25:
         kind = "junk"
-    elif n_lines >= 4 and mean_line <= 12 and prose_share < 0.5:
+    elif repeats and _aligned_in_turn(raw_lines, indent_lag if indents >= lengths else length_lag):
+        kind = "table"
+    elif repeats or n_lines >= 4 and mean_line <= 12 and prose_share < 0.5:
         kind = "list"
     elif n >= 8 and per_letter >= 0.25:
         kind = "junk"

@@ -37,6 +37,20 @@ def test_kinds(text, kind):
     assert quality.describe(text)[-1] == kind
 
 
+def test_periodic_layouts():
+    rng = random.Random(4)
+    say = lambda n: " ".join(rng.choices("the old boat and a gate near the river with nobody on it was there in town".split(), k=n))
+    indented = "\n".join(("" if i % 3 == 0 else "    ") + say(rng.randint(13, 22)) for i in range(18))
+    lengths = "\n".join(say((24, 13, 13)[i % 3]) for i in range(18))
+    turns = "\n".join(f"record {i} of the {say(22)}\n{say(2)} | {say(2)} | {i} | {say(3)} | {say(2)} | {say(3)}" for i in range(8))
+    for text, kind, periodic in ((indented, "list", (True, False)), (lengths, "list", (False, True)), (turns, "table", (False, True))):
+        got = dict(zip([n for n, _ in quality.STATS], quality.describe(text), strict=True))
+        assert (got["kind"], (got["indent_period"] >= 0.5, got["line_autocorr"] >= 0.6)) == (kind, periodic)
+    # no period, sentences in a layout, lines that end as sentences
+    assert quality.describe("\n".join(say(n) for n in (15, 21, 13, 18, 25, 14, 16, 22)))[-1] == "prose"
+    assert quality.describe("\n".join(("    " if i % 3 == 0 else "") + x for i, x in enumerate((PROSE + " " + PROSE).replace(", ", ",\n").replace(". ", ".\n").split("\n") * 3)))[-1] == "prose"
+
+
 def test_answers():
     assert quality.answer_of("### Instruction:\nq\n\n### Response:\na\nb", "alpaca") == "a\nb"
     assert quality.answer_of("<|im_start|>user\nq\n<|im_end|>\n<|im_start|>assistant\na\n<|im_end|>", None) == "a\n"
