@@ -51,6 +51,8 @@ _BULLET = re.compile(r"\s*(?:[-*+•‣▪●–—>#]+|\(?(?:\d{1,3}|[A-Za-z]|[
 _SENTENCE_END = re.compile(r"[.!?…][\"'“”»)\]]*(?=\s|$)")
 _ENDS = re.compile(r"[.!?…:][\"'“”»)\]]*$")
 _GAP = re.compile(r"(?<=\S) {2,}(?=\S)|^ {2,}(?=\S)")
+#: A word with a vowel and at most four other letters in a row.
+_SAID = re.compile(r"(?=.*[aeiouy])(?!.*[^aeiouy]{5}).*")
 _RULE = re.compile(r"[\s|:+=-]+")
 DELIMITERS = ("|", "\t", ";", ",")
 
@@ -107,6 +109,13 @@ def _reads_as_sentences(text: str, found: list[str]) -> bool:
     return common >= 0.1 * len(found) and len(_SENTENCE_END.findall(text)) >= max(1, len(found) / 60)
 
 
+def _readable(counts: Counter[str]) -> bool:
+    """Whether at most 0.3 of the words (numbers aside) mix digits and letters, are very long, or have letters that can't be said."""
+    letters = {w: c for w, c in counts.items() if not w.isdigit()}
+    unsaid = sum(c for w, c in letters.items() if len(w) > 25 or w.isascii() and (not w.isalpha() or len(w) > 2 and not _SAID.fullmatch(w)))
+    return unsaid <= 0.3 * sum(letters.values())
+
+
 def describe(text: str | None) -> tuple:
     """The values of ``STATS`` for one text; null and blank texts are ``short`` with all counts 0."""
     text = text or ""
@@ -167,15 +176,19 @@ def describe(text: str | None) -> tuple:
     # A layout that repeats and isn't sentences. Lengths that are alike at lag 1 only drift, and of random ones
     # (6 to 14 lines) 3 % reach 0.5 at another lag, under 1 % 0.6.
     repeats = n_lines >= 6 and n >= n_lines and enders <= 0.5 and prose_share < 0.5 and (indents >= 0.5 or lengths >= 0.6 and length_lag > 1)
+    # On several lines a long answer may well repeat its words: few are few in number too.
+    few = distinct < 0.2 and (n_lines < 3 or len(counts) < 12)
+    # Entries without marks, if they are readable and not the same few words again and again.
+    listed = (repeats or n_lines >= 3 and mean_line <= 12) and not few and _readable(counts)
     if prose_share >= 0.5 and per_letter < 0.3 and top < 0.34:
         kind = "prose"
     elif n_lines >= 3 and aligned >= 0.6 and cells >= 2 and n >= n_lines and prose_share < 0.5 and (delimiter != "," or mean_line < 40):
         kind = "table"
     elif n_lines >= 4 and entries >= 0.6 * n_lines and mean_line <= 12 and letters <= 25 * n:
         kind = "list"
-    elif n_lines < 3 and ink >= 40 and sum(len(w) for w in text.split() if len(w) > 40) >= 0.5 * ink:
+    elif not listed and ink >= 40 and sum(len(w) for w in text.split() if len(w) > 40) >= 0.5 * ink:
         kind = "junk"
-    elif n >= 8 and n_lines < 3 and (common < 0.08 or top >= 0.34 or distinct < 0.2):
+    elif n >= 8 and not listed and (common < 0.08 or top >= 0.34 or few):
         kind = "junk"
     elif ink >= 20 and (per_letter >= 0.45 or n and top >= 0.5 or not n):
         kind = "junk"

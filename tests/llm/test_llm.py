@@ -51,6 +51,22 @@ def test_periodic_layouts():
     assert quality.describe("\n".join(("    " if i % 3 == 0 else "") + x for i, x in enumerate((PROSE + " " + PROSE).replace(", ", ",\n").replace(". ", ".\n").split("\n") * 3)))[-1] == "prose"
 
 
+def test_gibberish_on_several_lines():
+    rng = random.Random(6)
+    noise = lambda k: " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randint(3, 7))) for _ in range(k))
+    coded = lambda k: " ".join(f"{rng.randrange(65536):04x}" for _ in range(k))
+    for make in (noise, coded):
+        for lines, words in ((1, 20), (3, 6), (3, 20), (8, 4), (8, 20)):
+            assert quality.describe("\n".join(make(words) for _ in range(lines)))[-1] == "junk"
+    blob = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=76 * 6))
+    assert quality.describe("\n".join(blob[i : i + 76] for i in range(0, len(blob), 76)))[-1] == "junk"
+    assert quality.describe("\n".join("boat gate river town " * 5 for _ in range(3)))[-1] == "junk"
+    # lists of names and of numbers have no common words either
+    assert quality.describe("Berlin\nParis\nMadrid\nLondon\nWien\nBern\nRom\nOslo\nStockholm\nAmsterdam")[-1] == "list"
+    assert quality.describe("\n".join(str(x * x) for x in range(100, 112)))[-1] == "list"
+    assert quality.describe(PROSE.replace(" ", "\n"))[-1] == "prose"
+
+
 def test_answers():
     assert quality.answer_of("### Instruction:\nq\n\n### Response:\na\nb", "alpaca") == "a\nb"
     assert quality.answer_of("<|im_start|>user\nq\n<|im_end|>\n<|im_start|>assistant\na\n<|im_end|>", None) == "a\n"
