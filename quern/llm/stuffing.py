@@ -35,6 +35,7 @@ _TAG = re.compile(r"<[^<>]{1,300}>")
 #: Stands for each character of a link; no letter, digit or blank.
 _GONE = "\ufffc"
 _LIKELY = re.compile(r"://|www\.|#\w|<a\s|\w\.(?:com|org|net|info|biz|shop|io|co|de|fr|es|uk|eu|example|test|invalid)\b")
+_NUMBERED = re.compile(r"\s*\(?\d{1,3}[.):]\s")
 _PART = re.compile(r"(?<=[.!?])\s+|\n+")
 #: A single function word stands for at most this share of a page's words, so that no keyword passes for one.
 _MOST_OF_ONE = 0.15
@@ -45,6 +46,7 @@ class Settings:
     prose: float = 0.5
     links: float = 0.2
     min_links: int = 3
+    mostly_links: float = 0.5
     min_words: int = 8
     numbers: float = 0.33
     divergence: float = 0.5
@@ -127,6 +129,8 @@ def measure(text: str) -> tuple:
             if w[0] in "0123456789":
                 numbers += c
     language = min(mass, key=lambda x: (-mass[x], x)) if mass else None
+    # The numbers that count a list's entries say nothing about them.
+    marks = sum(1 for x in rest.splitlines() if _NUMBERED.match(x)) if numbers else 0
     ink = max(1, len(text) - sum(map(text.count, " \n\t\r")))
     n1 = max(1, n)
     prose = _sentences(rest)
@@ -139,7 +143,7 @@ def measure(text: str) -> tuple:
             curve = len(words)
             spectrum = Counter(Counter(w for w in words if w not in LANGUAGES_OF).values())
     return (
-        language, n, curve, prose / n1, prose / (n1 + linked / 6), mass[language] / n1 if mass else 0.0, numbers / n1, links, linked / ink,
+        language, n, curve, prose / n1, prose / (n1 + linked / 6), mass[language] / n1 if mass else 0.0, (numbers - marks) / max(1, n - marks), links, linked / ink,
         freqs := sorted(spectrum, reverse=True), [spectrum[f] for f in freqs],
     )
 
@@ -222,5 +226,7 @@ def stuffed_pages(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
     unlike = ((F.col("common_ratio") < s.divergence) & (off > s.repeated)) | (off > s.deviations)
     stuffed = (F.col("sentence_share") < s.prose) & (F.col("n_words") >= s.min_words) & unlike
     disguised = (F.col("curve_words") >= s.min_disguised) & (F.col("slope_z") > s.deviations) & (F.col("residual_z") > s.disguised)
-    j = j.withColumn("stuffed", (F.col("number_share") < s.numbers) & (listed | stuffed | disguised))
+    # Timetables and logs are numbers; a page that is mostly links is none, whatever stands beside them.
+    few_numbers = F.col("number_share") < s.numbers
+    j = j.withColumn("stuffed", (listed & (few_numbers | (F.col("link_share") >= s.mostly_links))) | (few_numbers & (stuffed | disguised)))
     return j.select(*pages.columns, "slope_z", "residual_z", "common_ratio", "stuffed")

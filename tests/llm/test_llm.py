@@ -347,6 +347,13 @@ def test_stuffing(spark):
     assert stuffing.stuffed_pages(stuffing.curves(d.limit(0))).count() == 0
 
 
+def test_numbers_beside_links(spark):
+    spam = ["\n".join(f"{i}. https://a{i}.example/x/y{i}.html" for i in range(1, 21)), "\n".join(f"({i}) www.shop.example/lamp/{i} " for i in range(1, 21)), "\n".join(f"12.{i} EUR 40 x 60 https://www.shop.example/lamp/red/large/{i}" for i in range(20))]
+    fine = ["\n".join(f"2024-01-{i:02d} 12:{i:02d}:07.113 step={i * 50} GET http://h.test/p{i} 200 13 ms 0.{i}42 loss=3.14{i}" for i in range(1, 29)), "\n".join(f"{i}. {i * 7}:15 {i * 11} km {i * 3}.50" for i in range(1, 21))]
+    d = spark.createDataFrame(list(enumerate([*spam, *fine])), "doc_id int, text string")
+    assert {r.page for r in stuffing.stuffed_pages(stuffing.curves(d)).where("stuffed").collect()} == {0, 1, 2}
+
+
 def test_rank_frequency_fit(spark):
     text = " ".join(f"w{r}x " * int(200 / r) for r in range(1, 60))
     slope = stuffing.curves(spark.createDataFrame([(1, text)], "doc_id int, text string")).first().slope
