@@ -184,7 +184,7 @@ def is_empty(response: str | None) -> bool:
 
 def is_refusal(response: str, n: int) -> bool:
     """Whether nothing but declining sentences and polite phrases make up ``response``, of ``n`` words."""
-    if n < 3 or n > 120:
+    if n < 3:
         return False
     declined = rest = 0
     for s in _SPLIT.split(response.strip()):

@@ -239,6 +239,12 @@ def test_pair_frame(spark):
     assert [(r.defect, r["_defect"]) for r in pairs.pair_defects(d).collect()] == [("x", "empty"), (None, None)] and pairs.pair_defects(d.limit(0)).count() == 0
 
 
+def test_long_refusals():
+    declining = " ".join(f"I'm sorry, but I can't help with the {w} boat or with the gate." for w in "red old new big low far top dry wet odd".split())
+    assert len(WORD.findall(declining)) > 120 and pairs.defect("Tell me about boats.", declining) == "refusal"
+    assert pairs.defect("Tell me about boats.", declining + " " + PROSE) is None
+
+
 # 5
 
 
