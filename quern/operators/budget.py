@@ -15,9 +15,16 @@ from quern.operators.order import hashed_rank, position, running_sum, shuffle_nu
 def within_budget(df: DataFrame, keys: Sequence[str], order: str, tokens: str, budget: Column) -> DataFrame:
     """The rows admitted before the budget is used up: a row is kept if the tokens of those before it are fewer than ``budget``.
 
-    So the last row may exceed the budget, and a budget of 0 admits nothing. Null tokens count as 0.
+    So the last row may exceed the budget, and a budget of 0 admits nothing. Null tokens count as 0. Rows of the same key and order are admitted together.
+    Only keys, order and tokens are summed in order; other columns are joined to what was admitted.
     """
-    return running_sum(df, keys, order, F.coalesce(F.col(tokens), F.lit(0)).cast("bigint"), "__before").where(F.col("__before") < budget).drop("__before")
+    slim = df.groupBy(*keys, order).agg(F.sum(F.coalesce(F.col(tokens), F.lit(0))).cast("bigint").alias("__n"))
+    names = {c: f"__k{i}" for i, c in enumerate([*keys, order])}
+    admitted = running_sum(slim, keys, order, F.col("__n"), "__before").where(F.col("__before") < budget).select(*[F.col(c).alias(n) for c, n in names.items()])
+    same = F.lit(True)
+    for c, n in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    return df.join(admitted, same, "left_semi")
 
 
 def weighted_budgets(weights: DataFrame, keys: Sequence[str], weight: str, total: Column | float) -> DataFrame:

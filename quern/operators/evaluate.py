@@ -131,17 +131,12 @@ def entropy(counts: DataFrame, keys: list[str], n: str) -> DataFrame:
     return counts.select(*keys, p.alias("p")).groupBy(*keys).agg((-F.sum(F.col("p") * F.log2("p"))).alias("entropy"))
 
 
-#: What to try when a metric is graded acceptable or poor.
-ADVICE = {
-    "perplexity": ["train longer", "check data quality", "tune learning rate and batch size", "check for a collapsed loss"],
-    "boolq": ["add instruction data", "add question-answering data", "check the yes/no format", "improve the prompts"],
-    "smoke": ["improve conversational data", "add more varied prompts", "check for repetition", "tune temperature and top-p"],
-    "margin": ["check the preference pairs", "train longer", "tune learning rate and batch size"],
-}
-
-
-def recommendations(grades: DataFrame, keys: list[str], metric: str, grade: str, most: int = 8) -> DataFrame:
-    """``(keys, advice)``: the advice for each key's weak metrics in the order of their names, each piece once, ``most`` at the most."""
-    by = F.create_map(*[x for k, v in ADVICE.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    weak = grades.where(F.col(grade).isin("acceptable", "poor")).groupBy(*keys).agg(F.array_sort(F.collect_list(metric)).alias("weak"))
-    return weak.select(*keys, F.slice(F.array_distinct(F.flatten(F.transform("weak", lambda m: F.coalesce(by[m], F.array().cast("array<string>"))))), 1, most).alias("advice"))
+def recommendations(grades: DataFrame, advice: DataFrame, keys: list[str], metric: str, grade: str, most: int = 8) -> DataFrame:
+    """``(keys, advice)``: the advice for each key's weak metrics (acceptable or poor) in the order of their names, each piece once, ``most`` at the most.
+
+    ``advice`` is a table of ``(metric, advice)`` with an array of texts for each metric, a row a metric; metrics without one give none.
+    """
+    weak = grades.where(F.col(grade).isin("acceptable", "poor")).select(*keys, F.col(metric).alias("__m"))
+    named = weak.join(advice.select(F.col("metric").alias("__m"), F.col("advice").alias("__a")), "__m", "left")
+    listed = named.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__m", F.coalesce("__a", F.array().cast("array<string>")).alias("a")))).alias("w"))  # a row a metric
+    return listed.select(*keys, F.slice(F.array_distinct(F.flatten(F.transform("w", lambda x: x["a"]))), 1, most).alias("advice"))

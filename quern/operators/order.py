@@ -5,33 +5,63 @@ A total order is always given by columns; row numbers of the engine are never us
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.session import broadcast_if_small, checkpointed
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str, buckets: int = 256) -> DataFrame:
-    """``df`` with ``name``: the sum of ``value`` over the rows of the same ``keys`` before this one in the numeric ``order``.
+#: Totals of ranges (24 bytes each) that are broadcast; beyond, they are joined by a shuffle.
+MAX_BROADCAST_ROWS = 500_000
 
-    Two levels: the sums of ``buckets`` even ranges of ``order`` are added up first (a few rows a key), then rows are
-    summed inside each range. So a key that holds any share of the rows, or no key at all, is spread over tasks. Rows of equal
-    order are summed in any order; ``order`` must not be null. ``df`` is read twice (for the ranges, then whole): checkpoint what is
-    costly to make.
+
+def ranged(df: DataFrame, keys: Sequence[str], order: str, value: Column) -> DataFrame:
+    """``df`` sorted into even ranges of (a hash of ``keys``, ``order``), written to the checkpoint folder, with ``__rs_key``, ``__rs_range`` and ``__rs_in``.
+
+    The ranges' ends are quantiles that the shuffle samples, so any order spreads evenly: far-apart groups of numbers, stray large ones, structs. Their number
+    is that of shuffle partitions, which adaptive execution joins by size. ``__rs_in`` is the sum of ``value`` over the earlier rows of the same keys and range.
+    """
+    key = F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
+    rows = df.withColumn("__rs_key", key).withColumn("__rs_value", F.coalesce(value, F.lit(0)).cast("bigint"))
+    rows = rows.repartitionByRange("__rs_key", order).sortWithinPartitions("__rs_key", order)
+    names = rows.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            k, v = b.column("__rs_key").to_numpy(), b.column("__rs_value").to_numpy()
+            new = np.append(last is None or k[0] != last, k[1:] != k[:-1])
+            before = np.cumsum(v) - v
+            starts = np.flatnonzero(new)
+            group = np.cumsum(new)  # 0: goes on from the batch before
+            base = np.append(-total, before[starts])
+            inside = before - base[group]
+            last, total = k[-1], int(inside[-1] + v[-1])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(inside)], names=[*names, "__rs_in"])
+
+    return checkpointed(rows.mapInArrow(run, f"{schema}, __rs_in bigint").withColumn("__rs_range", F.spark_partition_id()))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of the whole numbers ``value`` over the rows of the same ``keys`` before this one in ``order``, as BIGINT.
+
+    Two levels: rows are summed inside of ``ranged``'s ranges, and the ranges' totals (a row a range and key) are added up. So a key that holds any share of
+    the rows, or no key at all, is spread over tasks. Rows of equal order are summed in any order; ``order``, of any type that can be sorted, must not be null, a null
+    ``value`` is 0. ``df`` is evaluated twice (to sample its order, then whole) and all its columns travel along: give it what is narrow and cheap to make.
     """
-    ends = df.agg(F.min(order).alias("__rs_low"), F.max(order).alias("__rs_high"))
-    width = (F.col("__rs_high").cast("double") - F.col("__rs_low").cast("double") + 1.0) / buckets
-    b = df.withColumn("__rs_value", value).crossJoin(F.broadcast(ends))  # one row
-    b = b.withColumn("__rs_bucket", F.floor((F.col(order).cast("double") - F.col("__rs_low").cast("double")) / width).cast("int")).drop("__rs_low", "__rs_high")
-    sums = b.groupBy(*keys, "__rs_bucket").agg(F.sum("__rs_value").alias("__rs_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("__rs_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__rs_bucket").alias("__rs_b"), F.coalesce(F.sum("__rs_sum").over(earlier), F.lit(0)).alias("__rs_start"))
-    inside = Window.partitionBy(*keys, "__rs_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = b.withColumn("__rs_in", F.coalesce(F.sum("__rs_value").over(inside), F.lit(0)))
-    same = F.col("__rs_bucket") == F.col("__rs_b")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    return rows.join(starts, same).withColumn(name, F.col("__rs_start") + F.col("__rs_in")).drop("__rs_value", "__rs_bucket", "__rs_in", "__rs_b", "__rs_start", *[f"__k{i}" for i in range(len(keys))])
+    held = ranged(df, keys, order, value)
+    totals = held.groupBy("__rs_key", "__rs_range").agg(F.sum("__rs_value").alias("__rs_sum"))
+    earlier = Window.partitionBy("__rs_key").orderBy("__rs_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("__rs_key", "__rs_range", F.coalesce(F.sum("__rs_sum").over(earlier), F.lit(0)).alias("__rs_start"))
+    # without keys there is a row a range
+    starts = broadcast_if_small(starts, MAX_BROADCAST_ROWS) if keys else F.broadcast(starts)
+    return held.join(starts, ["__rs_key", "__rs_range"]).select(*df.columns, (F.col("__rs_start") + F.col("__rs_in")).alias(name))
 
 
 def position(df: DataFrame, keys: Sequence[str], order: str, name: str = "position") -> DataFrame:

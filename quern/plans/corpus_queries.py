@@ -142,21 +142,47 @@ def dedup_across_tables(spark, sf):
     return p.join(s, "fp", "left_anti").select("pair_id").distinct()
 
 
-@query("dedup_near_characters")
+_FIRST = "u AS (SELECT min(doc_id) AS id, text FROM documents WHERE text IS NOT NULL GROUP BY text)"
+_CHARACTERS = "SELECT id, list_distinct(list_transform(range(1, len(t) - 1), lambda i: substr(t, i, 3))) AS x FROM (SELECT id, replace(lower(text), ' ', '') AS t FROM u)"
+
+
+def _word_sets(of: str) -> str:
+    return f"SELECT id, list_distinct({sql.pieces('lower(text)')}) AS x FROM {of}"
+
+
+@query("dedup_near_characters", f"WITH RECURSIVE {_FIRST}, {sql.near_lost(_CHARACTERS, 0.8)} SELECT id AS doc_id FROM u WHERE len(replace(text, ' ', '')) >= 3 AND id NOT IN (SELECT id FROM lost)")
 def dedup_near_characters(spark, sf):
     return dedup.near_first(documents(spark, sf, "text", heavy=True).where("text is not null"), "text", "doc_id").select("doc_id")
 
 
-@query("dedup_near_words")
+_LONG = f"u AS (SELECT min(doc_id) AS id, text FROM documents WHERE len({sql.pieces('text')}) >= 5 GROUP BY text)"
+_SHORT = f"SELECT doc_id FROM documents WHERE text IS NOT NULL AND len({sql.pieces('text')}) < 5"
+
+
+@query("dedup_near_words", f"WITH RECURSIVE {_LONG}, {sql.near_lost(_word_sets('u'), 0.85)} SELECT id AS doc_id FROM u WHERE id NOT IN (SELECT id FROM lost) UNION ALL {_SHORT}")
 def dedup_near_words(spark, sf):
     return dedup.near_first_words(documents(spark, sf, "text", heavy=True).where("text is not null"), "text", "doc_id").select("doc_id")
 
 
-@query("dedup_lsh_only")
+@query("dedup_lsh_only", f"WITH RECURSIVE {sql.near_lost(_word_sets('(SELECT doc_id AS id, text FROM documents WHERE text IS NOT NULL)'), 0.85)} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM lost)")
 def dedup_lsh_only(spark, sf):
     return dedup.lsh_first(documents(spark, sf, "text", heavy=True), "text", "doc_id").select("doc_id")
 
 
+#: Even documents are the first source, odd ones the second.
+_RANKED = "(doc_id % 2) * 1000000000000 + doc_id"
+_UNION = f"u AS (SELECT min({_RANKED}) AS id, text FROM documents WHERE len({sql.pieces('text')}) >= 5 GROUP BY text)"
+
+
+@query("dedup_across_sources", f"WITH RECURSIVE {_UNION}, {sql.near_lost(_word_sets('u'), 0.85)} SELECT id % 1000000000000 AS doc_id, id // 1000000000000 AS source_rank FROM u WHERE id NOT IN (SELECT id FROM lost) UNION ALL SELECT doc_id, doc_id % 2 FROM ({_SHORT})")
+def dedup_across_sources(spark, sf):
+    """Two sources in turn through one deduplication: what the first admits shuts out near-copies of the second; texts of under five words all stay."""
+    d = documents(spark, sf, "text", heavy=True).where("text is not null")
+    memory = dedup.Admission("words")
+    first, second = (memory.admit(d.where(F.col("doc_id") % 2 == rank), "text", "doc_id").select("doc_id", F.lit(rank).cast("bigint").alias("source_rank")) for rank in (0, 1))
+    return first.unionAll(second)
+
+
 # Budgets and samples
 
 

@@ -62,23 +62,15 @@ def pretraining_corpus(spark: SparkSession, c: Pretraining) -> DataFrame:
     Sources are taken in turn, as a document that an earlier source's budget shut out doesn't shut out a later copy.
     """
     c.check()
-    admitted: DataFrame | None = None
+    memory = dedup.Admission(c.near, c.threshold, c.permutations)
+    parts = []
     for rank, s in enumerate(c.sources):
-        fresh = _source(spark, s, rank)
-        if admitted is not None:
-            fresh = fresh.join(admitted.select("text"), "text", "left_anti")
-        whole = fresh if admitted is None else admitted.unionByName(fresh)
-        if c.near == "words":
-            kept = dedup.near_first_words(whole, "text", "ord", c.threshold, c.permutations)
-        elif c.near == "characters":
-            kept = dedup.near_first(whole, "text", "ord", c.threshold, c.permutations)
-        else:
-            kept = dedup.exact_first(whole, "text", "ord")
-        new = kept.where(F.col("source") == s.name)
-        if s.token_budget is not None:
-            new = budget.within_budget(new, ["source"], "row", "tokens", F.lit(s.token_budget))
-        admitted = checkpointed(new if admitted is None else admitted.unionByName(new))
-    return admitted.select("source", "row", "text", "tokens", "ord")
+        within = (lambda d: d) if s.token_budget is None else (lambda d, n=s.token_budget: budget.within_budget(d, ["source"], "row", "tokens", F.lit(n)))
+        parts.append(memory.admit(_source(spark, s, rank), "text", "row", within))
+    whole = parts[0]
+    for d in parts[1:]:
+        whole = whole.unionByName(d)
+    return whole.select("source", "row", "text", "tokens", "ord")
 
 
 def prepare_pretraining(spark: SparkSession, c: Pretraining, directory: str, force: bool = False) -> dict:
@@ -87,7 +79,7 @@ def prepare_pretraining(spark: SparkSession, c: Pretraining, directory: str, for
         return readers.manifest(spark, directory)
     d = checkpointed(pretraining_corpus(spark, c))
     stats = {r["source"]: {"documents": r["docs"], "tokens": r["tokens"]} for r in d.groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens")).collect()}  # one row a source
-    rows = d.select("text", "source", F.col("tokens").alias("exact_tokens"), F.length("text").alias("character_count"), (F.col("ord.source_rank").cast("bigint") * (1 << 44) + F.col("row")).alias("ord"))
+    rows = d.select("text", "source", F.col("tokens").alias("exact_tokens"), F.length("text").alias("character_count"), "ord")
     return writers.write_shards(rows, directory, "ord", c.docs_per_shard, "exact_tokens", asdict(c), {"statistics": stats}, force=True)
 
 

@@ -1,5 +1,7 @@
 """Pieces of SQL that the queries' equivalents share."""
 
+from quern.operators.dedup import bands_for
+
 #: White space, as a class of RE2.
 BL = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]"
 
@@ -41,3 +43,19 @@ def smart(x: str) -> str:
       + len(regexp_extract_all({x}, '[.!?;:,]'))::DOUBLE * 0.5::DOUBLE
       + len(list_filter({w}, lambda y: regexp_full_match(y, '\p{{Nd}}+')))::DOUBLE * 0.3::DOUBLE
       - greatest(0, len(regexp_extract_all({x}, '{BL}+')) - len({pieces(x)}))::DOUBLE * 0.1::DOUBLE)) END)::BIGINT"""
+
+
+def near_lost(shingled: str, threshold: float, permutations: int = 128) -> str:
+    """Common table expressions up to ``lost(id)``: the documents of ``shingled`` (a query of ``id, x``) that share a band with an earlier kept one."""
+    bands, rows = bands_for(threshold, permutations)
+    number = lambda x: f"('0x' || substr(md5({x}), 1, 7))::BIGINT"
+    return f"""perm AS (SELECT range AS i, {number("'a' || range")} + 1 AS a, {number("'b' || range")} AS b FROM range({bands * rows})),
+    hashed AS (SELECT id, list_transform(x, lambda t: {number("t")}) AS h FROM ({shingled}) WHERE len(x) > 0),
+    minima AS (SELECT id, i, list_min(list_transform(h, lambda v: (a * v + b) % 2147483647)) AS m FROM hashed, perm),
+    band AS (SELECT id, i // {rows} AS no, string_agg(m, ',' ORDER BY i) AS key FROM minima GROUP BY 1, 2),
+    edge AS (SELECT DISTINCT x.id AS earlier, y.id AS later FROM band x JOIN band y ON x.no = y.no AND x.key = y.key AND x.id < y.id),
+    node AS (SELECT earlier AS id FROM edge UNION SELECT later FROM edge),
+    state AS (SELECT 0 AS step, id, CASE WHEN id IN (SELECT later FROM edge) THEN 0 ELSE 1 END AS s FROM node
+      UNION ALL SELECT r.step + 1, r.id, CASE WHEN r.s <> 0 THEN r.s WHEN bool_or(p.s = 1) THEN 2 WHEN bool_and(p.s = 2) THEN 1 ELSE 0 END
+      FROM state r LEFT JOIN edge e ON e.later = r.id LEFT JOIN state p ON p.id = e.earlier WHERE (SELECT count(*) FROM state WHERE s = 0) > 0 GROUP BY r.step, r.id, r.s),
+    lost AS (SELECT id FROM state WHERE s = 2 AND step = (SELECT max(step) FROM state))"""

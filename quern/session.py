@@ -28,12 +28,14 @@ def spread(df: DataFrame) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back, its lineage cut.
 
-    The folder is the one that ``spark.checkpoint.dir`` names; only where that is unset (tests,
-    notebooks on one machine) a temporary folder is used.
+    The folder is the one that ``spark.checkpoint.dir`` names. Where that is unset a temporary folder is used if everything runs in one
+    machine's process (tests, notebooks); on a cluster, whose executors wouldn't share it, this raises.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quern-"))
     return df.checkpoint()
 

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import json
 import time
+import warnings
 from collections.abc import Callable, Iterator
 from functools import wraps
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,13 +82,15 @@ source("json")(lambda spark, path, schema, **_: json_array(spark, path, schema))
 
 
 def load(spark: SparkSession, kind: str, path: str, order: str | None = None, max_samples: int | None = None, **options: Any) -> DataFrame:
-    """A registered source, whole or its first ``max_samples`` rows in ``order``."""
+    """A registered source, whole or its first ``max_samples`` rows in ``order``, without which they would be others each time."""
     if kind not in _REGISTRY:
         raise ValueError(f"no source {kind!r}; there are {', '.join(sorted(_REGISTRY))}")
     d = retried(lambda: _REGISTRY[kind](spark, path, **options))
     if max_samples is None:
         return d
-    return head(d, [], order, max_samples) if order else d.limit(max_samples)
+    if order is None:
+        raise ValueError("the first samples need an order")
+    return head(d, [], order, max_samples)
 
 
 def manifest(spark: SparkSession, directory: str, name: str = "manifest.json") -> dict:
@@ -112,22 +116,54 @@ SFT_FORMATS = {
 }
 
 
-def sft_split(spark: SparkSession, directory: str, split: str) -> DataFrame:
-    """The rows of one split of a fine-tuning corpus, in the columns of its format; missing shards are passed over."""
+def listing(spark: SparkSession, path: str) -> dict[str, int]:
+    """Files and their bytes: of a folder (hidden ones left out), or the one that ``path`` is; none if there is nothing."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return {}
+    return {f.getPath().toString(): f.getLen() for f in fs.listStatus(p) if f.isFile() and not f.getPath().getName().startswith((".", "_"))}
+
+
+def _sft_files(spark: SparkSession, directory: str, split: str) -> tuple[str, list[str], list[str]]:
+    """Schema, files and missing files of a split. Folders are listed once each, files aren't asked for one by one."""
     m = manifest(spark, directory)
     if split not in m.get("splits", {}):
         raise ValueError(f"no split {split!r}; there are {', '.join(sorted(m.get('splits', {})))}")
-    schema = SFT_FORMATS[str(m.get("format_version", "2.0"))]
     files = [f"{directory}/{p}" for p in m["splits"][split]["shards"]]
+    there = {folder: {name.rpartition("/")[2] for name in listing(spark, folder)} for folder in {f.rpartition("/")[0] for f in files}}
+    missing = [f for f in files if f.rpartition("/")[2] not in there[f.rpartition("/")[0]]]
+    return SFT_FORMATS[str(m.get("format_version", "2.0"))], [f for f in files if f not in set(missing)], missing
+
+
+def sft_split(spark: SparkSession, directory: str, split: str) -> DataFrame:
+    """The rows of one split of a fine-tuning corpus, in the columns of its format; missing shards and bad lines are passed over.
+
+    Missing shards raise a warning; ``sft_split_faults`` counts both.
+    """
+    schema, files, missing = _sft_files(spark, directory, split)
+    if missing:
+        warnings.warn(f"{len(missing)} shards of {split!r} are missing, the first is {missing[0]}", stacklevel=2)
+    return jsonl(spark, files, schema, tolerant=True) if files else spark.createDataFrame([], schema)
+
+
+def sft_split_faults(spark: SparkSession, directory: str, split: str) -> DataFrame:
+    """``(shard, missing, bad_lines)`` of the shards that ``sft_split`` doesn't read whole."""
+    schema, files, missing = _sft_files(spark, directory, split)
+    lost = spark.createDataFrame([(f, True, 0) for f in missing], "shard string, missing boolean, bad_lines bigint")
     if not files:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("ignoreMissingFiles", True).option("mode", "DROPMALFORMED").json(files)
+        return lost
+    lines = spark.read.text(files).select(F.input_file_name().alias("shard"), "value").where(F.length(F.trim("value")) > 0)
+    parsed = F.from_json("value", f"{schema}, __bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
+    return lost.unionAll(lines.where(parsed["__bad"].isNotNull()).groupBy("shard").agg(F.lit(False).alias("missing"), F.count("*").alias("bad_lines")))
 
 
 def preference_shards(spark: SparkSession, directory: str) -> DataFrame:
-    """The preference triplets of ``shard_*.jsonl``; the manifest must be there."""
-    manifest(spark, directory)
-    return spark.read.schema("prompt string, chosen string, rejected string").json(f"{directory}/shard_*.jsonl*")
+    """The preference triplets of a folder with a manifest: of the shards that it names, or of ``shard_*.jsonl`` if it names none."""
+    schema = "prompt string, chosen string, rejected string"
+    if "shards" in manifest(spark, directory):
+        return shards(spark, directory, schema)
+    return spark.read.schema(schema).json(f"{directory}/shard_*.jsonl*")
 
 
 def prompts(spark: SparkSession, path: str) -> DataFrame:
@@ -152,15 +188,33 @@ def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def packed_binary(spark: SparkSession, path: str, length: int) -> DataFrame:
-    """``(tokens)`` of rows of ``length`` little-endian 16-bit ids, in one file or a folder of parts. Files are split between tasks at row ends."""
-    rows = spark.createDataFrame(spark.sparkContext.binaryRecords(path, 2 * length).map(lambda b: (bytearray(b),)), "row binary")
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI and the path in it, in a task as on the driver."""
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path.removeprefix("file:")
+    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw = b.column("row")
-            flat = np.frombuffer(b"".join(raw.to_pylist()), "<u2").astype(np.int32)
-            ends = pa.array(np.arange(0, len(flat) + 1, length), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(flat))], names=["tokens"])
 
-    return rows.mapInArrow(decode, "tokens array<int>")
+def packed_binary(spark: SparkSession, path: str, length: int, rows_per_task: int = 1 << 18) -> DataFrame:
+    """``(tokens)`` of rows of ``length`` little-endian 16-bit ids, in one file or a folder of parts.
+
+    Files are cut at row ends into stretches of ``rows_per_task``, which tasks read in whole Arrow batches. A file that isn't a whole number of rows raises.
+    """
+    files = spark.createDataFrame(sorted(listing(spark, path).items()), "path string, bytes bigint")
+    size = 2 * length
+    whole = F.when(F.col("bytes") % size == 0, F.expr(f"bytes div {size}")).otherwise(F.raise_error(F.concat(F.lit("not a whole number of rows: "), "path")))
+    cut = files.select("path", whole.alias("rows")).where("rows > 0").select("path", "rows", F.explode(F.sequence(F.lit(0), F.col("rows") - 1, F.lit(rows_per_task))).alias("first"))
+    cut = cut.select("path", "first", F.least(F.lit(rows_per_task), F.col("rows") - F.col("first")).alias("n")).repartition("path", "first")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, first, n in zip(*(b.column(c).to_pylist() for c in ("path", "first", "n")), strict=True):
+                fs, at = file_system(name)
+                with fs.open_input_file(at) as f:
+                    f.seek(first * size)
+                    for done in range(0, n, 8192):
+                        k = min(8192, n - done)
+                        flat = np.frombuffer(f.read(k * size), "<u2").astype(np.int32)
+                        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(np.arange(0, k * length + 1, length), pa.int32()), pa.array(flat))], names=["tokens"])
+
+    return cut.mapInArrow(read, "tokens array<int>")

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from typing import Any
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators.order import position, shard_numbers
-from quern.sources.readers import manifest
+from quern.operators.order import shard_numbers
+from quern.sources.readers import file_system, manifest
 
 
 def config_hash(config: Any) -> str:
@@ -61,11 +60,10 @@ def write_numbered(df: DataFrame, directory: str, shard: str, order: str, tokens
 
 
 def _record(spark: SparkSession, directory: str, tokens: str | None, config: Any, extra: dict | None) -> dict:
-    written = spark.read.json(f"{directory}/shards")
-    counts = {}
-    if "shard" in written.columns:
-        sums = [F.count("*").alias("documents")] + ([F.sum(tokens).alias("tokens")] if tokens else [])
-        counts = {r["shard"]: r.asDict() for r in written.groupBy("shard").agg(*sums).collect()}  # one row a shard
+    # only the counted column is parsed, and no schema is inferred
+    written = spark.read.schema(f"`{tokens}` bigint, shard bigint" if tokens else "shard bigint").json(f"{directory}/shards")
+    sums = [F.count("*").alias("documents")] + ([F.sum(tokens).alias("tokens")] if tokens else [])
+    counts = {r["shard"]: r.asDict() for r in written.groupBy("shard").agg(*sums).collect()}  # one row a shard
     files = []
     for r in file_hashes(spark, f"{directory}/shards/*/*.json.gz").orderBy("path").collect():
         name = r["path"].rpartition("/shards/")[2]
@@ -143,30 +141,37 @@ def latest_valid(listing: DataFrame, path: str, step: str, valid: str) -> DataFr
     return listing.where(F.col(valid)).agg(F.max_by(path, F.coalesce(F.col(step), F.lit(2**62))).alias("path"))
 
 
-def write_packed(df: DataFrame, path: str, order: str, tokens: str, length: int) -> int:
+def write_packed(df: DataFrame, path: str, order: str, tokens: str, length: int, extra: dict | None = None) -> int:
     """Rows of ``length`` ids below 65,536 as little-endian 16-bit integers: part files in ``order`` in the folder ``path``, and ``path``.idx.
 
-    ``path`` must be a folder that all executors share. Every task writes a range of the order, to a name of its own that is put in place when
-    whole, so a repeated task overwrites its part. The number of rows is returned.
+    ``path`` is a folder or URI of any file system that Arrow knows and all executors share. Every task writes a range of the order in Arrow batches, to a name of
+    its own that is put in place when whole, so a repeated task overwrites its part. ``extra`` (hashes of the corpus and the tokenizer) goes into the index. The number of
+    rows is returned.
     """
     spark = df.sparkSession
     checked = df.select(order, F.when((F.size(tokens) == length) & F.coalesce(F.array_min(tokens) >= 0, F.lit(False)) & (F.array_max(tokens) < 65536), F.col(tokens)).otherwise(F.raise_error(F.lit("a row isn't of the length, or an id doesn't fit 16 bits"))).alias("t"))
-    os.makedirs(path, exist_ok=True)
-    parts = max(1, spark.sparkContext.defaultParallelism)
-    at = position(checked, [], order, "__at").withColumn("__part", F.floor(F.col("__at") * parts / F.greatest(F.lit(df.count()), F.lit(1))).cast("int"))
-
-    def write(p: pd.DataFrame) -> pd.DataFrame:
-        part = int(p["__part"].iloc[0])
-        rows = p.sort_values("__at")["t"]
-        name = f"{path}/part-{part:05d}.bin"
-        with open(f"{name}.{os.getpid()}.tmp", "wb") as f:
-            for t in rows:
-                f.write(np.asarray(t, "<u2").tobytes())
-        os.replace(f"{name}.{os.getpid()}.tmp", name)
-        return pd.DataFrame({"n": [len(rows)]})
-
-    n = at.groupBy("__part").applyInPandas(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    write_json(spark, {"shape": [n, length], "dtype": "uint16", "sequence_length": length, "num_sequences": n}, f"{path}.idx")
+    clear_cache(spark, path)
+    spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(path))
+    ranges = checked.repartitionByRange(order).sortWithinPartitions(order).withColumn("part", F.spark_partition_id())
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, at = file_system(path)
+        n, part, out, held = 0, 0, None, ""
+        for b in batches:
+            if out is None and b.num_rows:
+                part = b.column("part")[0].as_py()
+                held = f"{at}/.part-{part:05d}.{uuid.uuid4().hex}"
+                out = fs.open_output_stream(held)
+            if b.num_rows:
+                out.write(b.column("t").flatten().to_numpy(zero_copy_only=False).astype("<u2").tobytes())
+                n += b.num_rows
+        if out is not None:
+            out.close()
+            fs.move(held, f"{at}/part-{part:05d}.bin")
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    n = ranges.mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    write_json(spark, {"shape": [n, length], "dtype": "uint16", "sequence_length": length, "num_sequences": n, **(extra or {})}, f"{path}.idx")
     return n
 
 

@@ -26,7 +26,9 @@ def test_json_readers(spark, tmp_path):
     assert [r.line for r in readers.bad_lines(spark, str(bad), "text string").collect()] == ["not json"]
     assert sorted(r.text for r in readers.json_array(spark, str(many), "text string").collect()) == ["p", "q"]
     assert readers.open_records(spark, str(good)).select(F.variant_get("record", "$.n", "int").alias("n")).where("n = 1").count() == 1
-    assert readers.load(spark, "jsonl", str(good), order=None, max_samples=1, schema="text string").count() == 1
+    assert [r.text for r in readers.load(spark, "jsonl", str(good), order="text", max_samples=1, schema="text string").collect()] == ["x"]
+    with pytest.raises(ValueError):
+        readers.load(spark, "jsonl", str(good), max_samples=1, schema="text string")
     with pytest.raises(ValueError):
         readers.load(spark, "nowhere", "x")
 
@@ -78,6 +80,14 @@ def test_split_shards(spark, tmp_path):
     m = writers.write_split_shards(d, out, "split", "i", 3)
     assert {k: (v["rows"], len(v["shards"])) for k, v in m["splits"].items()} == {"train": (7, 3), "val": (2, 1)}
     assert sorted(r.text for r in readers.sft_split(spark, out, "val").collect()) == ["t7", "t8"]
+    assert readers.sft_split_faults(spark, out, "train").count() == 0
+    first, second = (tmp_path / "sft" / p for p in m["splits"]["train"]["shards"][:2])
+    first.unlink()
+    second.write_text(second.read_text() + "not json\n")
+    (second.parent / f".{second.name}.crc").unlink()
+    with pytest.warns(UserWarning, match="1 shards"):
+        assert readers.sft_split(spark, out, "train").count() == 4
+    assert sorted((r.missing, r.bad_lines) for r in readers.sft_split_faults(spark, out, "train").collect()) == [(False, 1), (True, 0)]
     with pytest.raises(ValueError):
         readers.sft_split(spark, out, "test")
 
@@ -103,6 +113,12 @@ def test_packed_binary(spark, tmp_path):
     n = writers.write_packed(spark.createDataFrame(rows, "i bigint, t array<int>").repartition(4), path, "i", "t", 3)
     assert n == 11 and json.loads((tmp_path / "bin.idx").read_text())["shape"] == [11, 3]
     assert sorted(r.tokens for r in readers.packed_binary(spark, path, 3).collect()) == [t for _, t in rows]
+    assert writers.write_packed(spark.createDataFrame(rows[:2], "i bigint, t array<int>"), path, "i", "t", 3, {"corpus_hash": "c"}) == 2
+    assert sorted(r.tokens for r in readers.packed_binary(spark, path, 3, rows_per_task=1).collect()) == [t for _, t in rows[:2]]
+    assert json.loads((tmp_path / "bin.idx").read_text())["corpus_hash"] == "c"
+    assert readers.packed_binary(spark, str(tmp_path / "nothing"), 3).count() == 0
+    with pytest.raises(Exception):
+        readers.packed_binary(spark, path, 4).collect()
     with pytest.raises(Exception):
         writers.write_packed(spark.createDataFrame([(1, [70000, 1, 1])], "i bigint, t array<int>"), str(tmp_path / "bad"), "i", "t", 3)
 
@@ -127,6 +143,14 @@ def test_pretraining_pipeline(spark, tmp_path):
     c = pipelines.Pretraining((source("one", token_budget=40), source("two")), near="words")
     got = sorted((r.source, r.row) for r in pipelines.pretraining_corpus(spark, c).collect())
     assert got == [("one", 0), ("one", 1), ("two", 0), ("two", 1), ("two", 2)]  # the budget shuts out the third text of one, so two's copy stays
+    # texts of fewer than five words are never remembered: all stay, in each source
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join([json.dumps({"id": k, "text": t}) for k, t in enumerate([words[0], words[0] + " more", "x" * 30 + " and " + "y" * 30, "x" * 30 + " and " + "y" * 30])]))
+    for near, expected in (("words", [("one", 0), ("one", 2), ("one", 3), ("two", 2), ("two", 3)]), (None, [("one", 0), ("one", 1), ("one", 2)])):
+        got = sorted((r.source, r.row) for r in pipelines.pretraining_corpus(spark, pipelines.Pretraining((source("one"), source("two")), near=near)).collect())
+        assert got == expected
+    for name, rows in (("one", [0, 1, 1, 2]), ("two", [2, 3, 4, 0])):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"id": k, "text": words[w]}) for k, w in enumerate(rows)))
     m = pipelines.prepare_pretraining(spark, c, str(tmp_path / "out"))
     assert m["total_documents"] == 5 and pipelines.prepare_pretraining(spark, c, str(tmp_path / "out")) == m
     with pytest.raises(ValueError):
@@ -141,6 +165,11 @@ def test_finetuning_and_preference_pipelines(spark, tmp_path):
     assert readers.sft_split(spark, str(tmp_path / "sft"), "train").where("text like '<|im_start|>user%'").count() == 18
     t = spark.createDataFrame([(1, "p", "a", "b"), (2, "p", "a", "a"), (3, None, "a", "b")], "i bigint, prompt string, chosen string, rejected string")
     assert pipelines.prepare_preferences(t, "i", str(tmp_path / "dpo"))["funnel"] == {"kept": 1, "same": 1, "missing_prompt": 1}
+    assert [tuple(r) for r in readers.preference_shards(spark, str(tmp_path / "dpo")).collect()] == [("p", "a", "b")]
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "manifest.json").write_text("{}")
+    (tmp_path / "old" / "shard_000.jsonl").write_text('{"prompt": "q", "chosen": "c", "rejected": "r"}')
+    assert [tuple(r) for r in readers.preference_shards(spark, str(tmp_path / "old")).collect()] == [("q", "c", "r")]
     with pytest.raises(ValueError):
         pipelines.Finetuning(template="none").check()
 

@@ -19,12 +19,33 @@ def frame(spark, rows, schema):
 def test_running_sum_and_position(spark):
     rng = random.Random(1)
     rows = [(rng.choice(["a", None, "b"]), i * rng.choice([1, 1000]) + i, rng.randint(0, 9)) for i in range(300)]
-    got = {(r.k, r.o): r.s for r in order.running_sum(frame(spark, rows, "k string, o bigint, v int"), ["k"], "o", F.col("v"), "s", 7).collect()}
+    got = {(r.k, r.o): r.s for r in order.running_sum(frame(spark, rows, "k string, o bigint, v int"), ["k"], "o", F.col("v"), "s").collect()}
     for k, o, _ in rows:
         assert got[k, o] == sum(v for a, b, v in rows if a == k and b < o)
     assert order.position(spark.createDataFrame([], "o bigint"), [], "o").count() == 0
 
 
+def test_ranges_of_an_uneven_order(spark):
+    # five sources far apart, in one order, and one stray number
+    rows = [((s << 44) + i, 1) for s in range(5) for i in range(400)] + [(1 << 62, 1)]
+    d = frame(spark, rows, "o bigint, v int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in order.ranged(d, [], "o", F.col("v")).groupBy("__rs_range").count().collect()]
+        composite = d.select(F.struct(F.shiftright("o", 44).alias("rank"), (F.col("o") % (1 << 44)).alias("row")).alias("o"), "v")
+        got = {tuple(r.o): r.position for r in order.position(composite, [], "o").select("o", "position").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and max(sizes) < 2 * len(rows) / 4
+    assert [got[k] for k in sorted(got)] == list(range(len(rows)))
+
+
+def test_exact_first(spark):
+    d = frame(spark, [(3, "a", "x"), (1, "a", "y"), (1, "a", "y"), (2, None, "z"), (5, None, "w"), (4, "", "v")], "i bigint, t string, other string")
+    assert sorted((r.i, r.other) for r in dedup.exact_first(d, "t", "i").collect()) == [(1, "y"), (2, "z"), (4, "v")]
+    assert dedup.exact_first(d.limit(0), "t", "i").count() == 0
+
+
 def test_budget(spark):
     rows = [(1, 5), (2, 10), (3, None), (4, 1)]
     d = frame(spark, rows, "o bigint, n int")
@@ -65,8 +86,26 @@ def test_first_wins(spark):
                 kept.append(i)
                 seen |= keys[i]
         bands = frame(spark, [(i, k) for i, ks in keys.items() for k in ks], "ord bigint, key bigint")
-        dropped = {r.ord for r in dedup.first_wins(bands).collect()}
-        assert dropped == set(keys) - set(kept), trial
+        for fold_rows in (1_000_000, 20, 0):  # one pass, rounds and a pass, rounds only
+            dropped = [r.ord for r in dedup.first_wins(bands, fold_rows).collect()]
+            assert len(dropped) == len(set(dropped)) and set(dropped) == set(keys) - set(kept), trial
+    chain = frame(spark, [(i, k) for i in range(30) for k in (i, i + 1)], "ord bigint, key bigint")
+    assert {r.ord for r in dedup.first_wins(chain).collect()} == set(range(1, 30, 2))
+    assert dedup.first_wins(chain.limit(0)).count() == 0
+
+
+def test_admission_of_sources(spark):
+    base = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcd"]
+    rows = {
+        "one": [(0, base[0]), (1, base[0]), (2, base[1]), (3, "too short"), (4, "too short"), (5, None)],
+        "two": [(0, base[0].replace("a7 ", "z ")), (1, base[2]), (2, base[1]), (3, "too short"), (4, base[3])],
+        "three": [(0, base[3]), (1, base[2]), (2, base[2])],
+    }
+    memory = dedup.Admission("words")
+    admit = lambda s, limit=lambda d: d: sorted(r.i for r in memory.admit(frame(spark, rows[s], "i bigint, t string"), "t", "i", limit).collect())
+    assert admit("one") == [0, 2, 3, 4, 5]
+    assert admit("two", lambda d: d.where("i < 4")) == [1, 3]  # what a budget shuts out is not remembered
+    assert admit("three") == [0]
 
 
 def test_near_duplicates(spark):
