@@ -6,8 +6,9 @@ Each pair is looked at on its own, in Arrow batches without a shuffle. The check
 * ``copy``: the prompt's words are put into a *suffix automaton*, the response is led through it, and
   the words covered by matches of three words or more (shorter only if the response is) are counted:
   at least 0.8 of the response must be copied and at least 0.6 of the prompt be given back;
-* ``refusal``: an *automaton* of refusal phrases over the folded words finds the sentences that
-  decline; nothing but these, polite openings and closings may remain;
+* ``refusal``: an *automaton* over classes of words finds the sentences that decline (someone speaks of
+  himself, negates, and names an act of help or speech; or names his rules and what they forbid);
+  nothing but these, polite openings and closings may remain;
 * ``language``: every sentence votes with its function words for a language; more than half of the
   words that are decided must be in a language other than the prompt's that the prompt doesn't name;
 * ``truncated``: the *stack of delimiters* isn't empty at the end, or the text doesn't end as a
@@ -26,34 +27,88 @@ from quern.llm.lexicon import LANGUAGE_NAMES, LANGUAGES_OF, words
 from quern.llm.quality import _BULLET, describe
 from quern.session import fresh
 
-#: Stand-ins for an answer, in lower case, without brackets around them.
-STAND_INS = frozenset(
-    ["n/a", "na", "none", "null", "nil", "nan", "empty", "blank", "undefined", "missing", "tbd", "todo", "no answer", "no response", "not available", "not applicable", "no data", "keine antwort", "pas de réponse", "aucune réponse", "sin respuesta", "leer", "vide", "vacío", "keine", "aucune", "ninguna"]
-)
+#: Words that alone stand for an answer that isn't there.
+STAND_INS = frozenset("na null none nil nan empty blank undefined missing tbd todo placeholder pending void leer vide vacío keine aucune ninguna".split())
+#: What may be said to be missing, in which words, and what may stand beside these.
+_NOTHING = frozenset("no not none empty blank missing without null insert placeholder pending unavailable keine kein ohne nicht leere aucune aucun pas sans vide sin ninguna ningún no vacía".split())
+_WHAT = frozenset("answer answers response reply text content output result available applicable provided given data value message completion generated returned found antwort text inhalt angabe angaben vorhanden verfügbar réponse texte contenu disponible donnée respuesta texto contenido dato datos disponible".split())
+_BESIDE = frozenset("the a an is was here your to be yet been of der die das ist hier la le el de est es aquí".split())
 _MARK = re.compile(r"<\|[a-z_]+\|>|</?s>|\[/?inst\]|</?(?:p|br|div)\s*/?>", re.I)
 _INVISIBLE = re.compile(r"[\s\u00ad\u200b-\u200f\u2028-\u202f\u2060\ufeff]+")
 
-#: Phrases that decline to answer, as folded words.
-REFUSALS = [
-    "can t help with", "cannot help with", "can not help with", "can t help you", "cannot help you", "unable to help", "not able to help",
-    "can t assist", "cannot assist", "unable to assist", "can t answer", "cannot answer", "unable to answer", "not able to answer", "won t answer", "will not answer",
-    "cannot provide", "can t provide", "unable to provide", "not able to provide", "won t provide", "will not provide",
-    "must decline", "have to decline", "must refuse", "have to refuse", "decline to write", "decline to answer", "refuse to answer",
-    "won t be able to", "will not be able to", "not be appropriate for me", "not appropriate for me", "guidelines do not let", "guidelines don t let", "guidelines do not allow", "guidelines prevent",
-    "rather not respond", "rather not answer", "rather not discuss", "prefer not to answer", "prefer not to respond", "nothing i am permitted", "not permitted to", "not allowed to",
-    "can t discuss", "cannot discuss", "unable to discuss", "can t comply", "cannot comply", "can t fulfill", "cannot fulfill", "can t talk about", "cannot talk about",
-    "ne peux pas vous aider", "ne peux pas t aider", "ne peux pas répondre", "ne peux pas aider", "ne peux pas fournir", "ne puis répondre", "pas en mesure de", "m est impossible de", "préfère ne pas", "dois refuser", "dois décliner", "refuse de répondre", "ne suis pas autorisé", "ne suis pas capable de", "pas le droit de", "mes règles ne me permettent pas", "me permettent pas", "rien dire à ce sujet", "rien dire sur",
-    "diese frage nicht beantworten", "frage nicht beantworten", "die antwort verweigern", "antwort verweigern", "zu diesem thema nichts sagen", "thema nichts sagen", "nicht in der lage", "kann ich nicht helfen", "kann dabei nicht helfen", "kann dir nicht helfen", "kann ihnen nicht helfen", "muss ich ablehnen", "muss ablehnen", "möchte lieber nicht", "lieber nicht antworten", "nicht beantworten", "darf nicht", "darf ich nicht", "nicht erlaubt",
-    "no puedo ayudarte", "no puedo ayudarle", "no puedo ayudar", "no puedo responder", "no puedo proporcionar", "no puedo dar", "no soy capaz de dar", "no soy capaz de", "debo negarme", "tengo que negarme", "no me está permitido", "no me permiten", "prefiero no", "me niego a", "debo rechazar", "no estoy autorizado", "no me es posible", "me es imposible",
-]
-#: Sentences that only lead in or out, by their first words.
-POLITE = [
-    "that is a fair question", "that s a fair question", "good question", "great question", "thanks for asking", "thank you for asking", "hmm", "sorry", "i m sorry", "i am sorry", "i apologise", "i apologize", "unfortunately", "i understand", "as an ai",
-    "please ask", "is there another", "is there anything else", "a specialist may", "let me know", "feel free", "so i will stop here", "ask me",
-    "c est une bonne question", "bonne question", "désolé", "je suis désolé", "malheureusement", "posez moi", "merci", "un spécialiste", "y a t il",
-    "das ist eine gute frage", "gute frage", "leider", "es tut mir leid", "tut mir leid", "entschuldigung", "bitte frage", "bitte fragen", "danke", "gibt es", "ein fachmann",
-    "es una buena pregunta", "buena pregunta", "perdón", "lo siento", "lamentablemente", "haz otra", "haga otra", "gracias", "un especialista", "hay otro",
+#: Classes of words, by language, from which patterns of declining are made; ``t`` is what is left of *can't*.
+CLASSES = {
+    "en_self": "i we me us my our",
+    "en_not": "t not cannot unable never nothing no incapable",
+    "en_act": "help assist assistance aid answer answers respond response reply provide give offer share supply discuss talk speak comment say tell write generate create produce draft compose complete fulfil fulfill comply engage support advise advice address explain describe elaborate disclose reveal continue proceed process handle honour honor entertain cover weigh opinion information guidance service oblige accommodate contribute browse access helping assisting answering responding replying providing giving offering sharing discussing talking speaking commenting saying telling writing generating creating complying advising explaining describing disclosing",
+    "en_refuse": "decline declining refuse refusing abstain refrain refraining withhold",
+    "en_prefer": "rather prefer",
+    "en_neg": "not",
+    "en_may": "permitted allowed authorized authorised comfortable willing able appropriate possible prepared ready equipped designed supposed meant liberty position going",
+    "en_ill": "inappropriate improper unethical impossible unwise irresponsible",
+    "en_rules": "guidelines guideline policy policies rules rule programming instructions principles restrictions developers safeguards scope abilities capabilities remit limits",
+    "en_own": "my our",
+    "en_forbid": "prevent prevents forbid forbids prohibit prohibits restrict restricts stop stops bar bars disallow disallows rule against exclude excludes",
+    "en_over": "against violates violate violating outside beyond conflicts contrary breach breaches off",
+    "en_do": "do",
+    "en_that": "that this so it these those",
+    "en_have": "have got possess",
+    "en_lack": "ability access permission authority clearance means right freedom answer comment information",
+    "en_leave": "leave skip pass stay keep remain",
+    "en_silent": "unanswered silent out quiet aside one",
+    "fr_self": "je j me m nous moi",
+    "fr_ne": "ne n",
+    "fr_pas": "pas point guère plus rien aucune aucun",
+    "fr_act": "aider aide répondre réponse fournir donner parler dire discuter traiter écrire rédiger commenter assister partager proposer expliquer accéder poursuivre satisfaire aborder communiquer produire exprimer prononcer renseigner conseiller évoquer ajouter faire",
+    "fr_refuse": "refuse refuser refusons décline décliner abstiens abstenir renonce renoncer",
+    "fr_prefer": "préfère préférons préférerais aime aimerais voudrais",
+    "fr_may": "autorisé autorisée mesure capable habilité habilitée droit permis permise possible possibilité",
+    "fr_ill": "impossible interdit interdite inapproprié déplacé",
+    "fr_own": "mes mon nos notre ma",
+    "fr_rules": "règles règle consignes directives principes instructions politique règlement limites programmation",
+    "fr_forbid": "pas interdisent interdit empêchent empêche",
+    "fr_silent": "silence",
+    "fr_keep": "garder garde garderai",
+    "de_self": "ich mir mich wir uns",
+    "de_not": "nicht nichts kein keine keinen keinerlei unmöglich",
+    "de_act": "helfen beantworten antworten sagen geben liefern besprechen reden sprechen schreiben erklären unterstützen äußern bereitstellen weiterhelfen mitteilen behandeln erfüllen eingehen diskutieren verfassen auskunft antwort antworte helfe dienen beitragen nachkommen beraten machen",
+    "de_refuse": "ablehnen verweigern lehne verweigere ablehne enthalten enthalte zurückweisen absehen passen",
+    "de_prefer": "lieber",
+    "de_may": "erlaubt gestattet befugt berechtigt möglich imstande lage angebracht darf",
+    "de_own": "meine meinen meiner mein unsere unseren",
+    "de_rules": "richtlinien regeln vorgaben grundsätze anweisungen leitlinien bestimmungen programmierung",
+    "de_forbid": "nicht verbieten untersagen verhindern kein keine",
+    "de_against": "gegen außerhalb",
+    "es_no": "no",
+    "es_can": "puedo podemos podré podría quiero queremos voy debo debemos deseo sé logro estoy soy tengo",
+    "es_act": "ayudar ayudarte ayudarle ayudarlo ayudarla ayuda responder responderte responderle contestar contestarte dar darte darle ofrecer ofrecerte proporcionar proporcionarte hablar decir decirte discutir escribir comentar compartir explicar atender tratar redactar generar asistir asistirte opinar facilitar continuar cumplir respuesta hacer hacerlo pronunciarme",
+    "es_refuse": "niego negarme rehúso rehusar rechazo rechazar declino declinar abstengo abstenerme excuso eludir",
+    "es_prefer": "prefiero preferimos preferiría",
+    "es_me": "me nos",
+    "es_may": "permitido permitida autorizado autorizada permiten permite capaz posible facultado condiciones",
+    "es_ill": "imposible inapropiado inadecuado prohibido",
+    "es_own": "mis mi nuestras",
+    "es_rules": "normas reglas directrices políticas política pautas principios instrucciones programación límites",
+    "es_forbid": "no impiden impide prohíben prohíbe",
+    "es_against": "contra fuera",
+    "es_nothing": "nada",
+}
+#: Sequences of classes that decline; a number is the most words between two of them.
+PATTERNS = [
+    "en_self 4 en_not 5 en_act", "en_self 4 en_refuse", "en_self 3 en_prefer 1 en_neg", "en_self 3 en_not 1 en_do 0 en_that", "en_not 3 en_may 6 en_act", "en_not 1 en_may 2 en_self", "en_not 3 en_self 2 en_may", "en_ill 2 en_self",
+    "en_own 1 en_rules 6 en_not", "en_own 1 en_rules 6 en_forbid", "en_over 3 en_rules", "en_self 4 en_not 1 en_have 3 en_lack", "en_self 2 en_have 0 en_not 3 en_act", "en_self 2 en_have 0 en_not 3 en_lack", "en_self 4 en_leave 3 en_silent",
+    "fr_self 3 fr_ne 4 fr_pas 6 fr_act", "fr_self 2 fr_ne 3 fr_pas 3 fr_may", "fr_self 3 fr_refuse", "fr_self 2 fr_prefer 3 fr_pas", "fr_self 3 fr_ill", "fr_ill 3 fr_self", "fr_own 1 fr_rules 5 fr_forbid", "fr_self 3 fr_keep 2 fr_silent", "fr_ne 3 fr_pas 2 fr_may 3 fr_self", "fr_ne 2 fr_self 2 fr_pas 2 fr_may",
+    "de_self 8 de_not 4 de_act", "de_not 6 de_self 6 de_act", "de_self 8 de_refuse", "de_refuse 2 de_self", "de_self 4 de_prefer 3 de_not", "de_self 6 de_not 4 de_may", "de_not 4 de_may 6 de_act", "de_own 0 de_rules 7 de_forbid", "de_against 1 de_own 0 de_rules", "de_self 6 de_act 2 de_not",
+    "es_no 2 es_can 4 es_act", "es_no 1 es_me 2 es_may", "es_no 2 es_can 2 es_may", "es_refuse", "es_prefer 0 es_no", "es_me 2 es_ill", "es_own 0 es_rules 5 es_forbid", "es_against 2 es_own 0 es_rules", "es_nothing 4 es_act",
 ]
+#: Words of sentences that only lead in or out. Such a sentence is short.
+POLITE = frozenset(
+    "sorry apologise apologize apologies regret unfortunately regrettably afraid hmm thanks thank please understand understandable appreciate question topic subject ai model assistant else another instead different specialist expert professional someone elsewhere consult ask happy glad feel free let know hope luck stop here "
+    "désolé désolée malheureusement regrette excusez pardon merci question sujet autre spécialiste expert volontiers comprends posez demandez hélas "
+    "leider entschuldigung tut leid bedaure bitte danke frage thema fachmann andere anderes anderen gern gerne verstehe "
+    "perdón siento lamento lamentablemente disculpa disculpe gracias pregunta tema otra otro especialista experto entiendo favor".split()
+)
+_MOST_POLITE = 14
 
 _SPLIT = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+|\n+")
 _TERMINAL = re.compile(r"[.!?…:。][\"'”“’»)\]*_`]*$|[.!?…][\"'”“’»)\]*_`]+$")
@@ -61,45 +116,43 @@ _DELIMITER = re.compile(r"[()\[\]{}“”«»„]")
 _CLOSERS = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«"}
 
 
-class PhraseAutomaton:
-    """An Aho-Corasick automaton over words."""
+class ClassAutomaton:
+    """An automaton over classes of words with bounded gaps between them; it reads a sentence once, with a set of states."""
 
-    def __init__(self, phrases: Iterable[str]) -> None:
-        self.next: list[dict[str, int]] = [{}]
-        self.final = [False]
-        for p in phrases:
-            at = 0
-            for w in p.split():
-                if w not in self.next[at]:
-                    self.next[at][w] = len(self.next)
-                    self.next.append({})
-                    self.final.append(False)
-                at = self.next[at][w]
-            self.final[at] = True
-        self.fail = [0] * len(self.next)
-        queue = list(self.next[0].values())
-        for at in queue:
-            for w, to in self.next[at].items():
-                f = self.fail[at]
-                while f and w not in self.next[f]:
-                    f = self.fail[f]
-                self.fail[to] = self.next[f].get(w, 0)
-                self.final[to] = self.final[to] or self.final[self.fail[to]]
-                queue.append(to)
+    def __init__(self, classes: dict[str, str], patterns: Iterable[str]) -> None:
+        number = {name: i for i, name in enumerate(classes)}
+        self.of: dict[str, set[int]] = {}
+        for name, listed in classes.items():
+            for w in listed.split():
+                self.of.setdefault(w, set()).add(number[name])
+        split = [p.split() for p in patterns]
+        #: For each pattern its classes, and the gaps after each but the last.
+        self.classes = [[number[x] for x in p[::2]] for p in split]
+        self.gaps = [[int(x) for x in p[1::2]] for p in split]
+        self.first: dict[int, list[int]] = {}
+        for i, c in enumerate(self.classes):
+            self.first.setdefault(c[0], []).append(i)
 
     def occurs(self, found: list[str]) -> bool:
-        at = 0
+        states: dict[tuple[int, int], int] = {}  # (pattern, classes seen) -> words that may still lie between
         for w in found:
-            while at and w not in self.next[at]:
-                at = self.fail[at]
-            at = self.next[at].get(w, 0)
-            if self.final[at]:
-                return True
+            here = self.of.get(w, ())
+            after: dict[tuple[int, int], int] = {}
+            reached = [(p, 1) for c in here for p in self.first.get(c, ())]
+            for (p, k), gap in states.items():
+                if self.classes[p][k] in here:
+                    reached.append((p, k + 1))
+                if gap:
+                    after[p, k] = gap - 1
+            for p, k in reached:
+                if k == len(self.classes[p]):
+                    return True
+                after[p, k] = max(after.get((p, k), 0), self.gaps[p][k - 1])
+            states = after
         return False
 
 
-_REFUSAL = PhraseAutomaton(REFUSALS)
-_POLITE_STARTS = tuple(p + " " for p in POLITE)
+_REFUSAL = ClassAutomaton(CLASSES, PATTERNS)
 
 
 class SuffixAutomaton:
@@ -179,11 +232,18 @@ def is_empty(response: str | None) -> bool:
         return True
     if len(t) <= 6 and not any(c.isalnum() for c in t):
         return True
-    return t.strip("()[]<>{}\"'*_.!").strip().lower() in STAND_INS
+    found = words(t)
+    if len(found) == 1 or t.lower().strip("()[]<>{}\"'*_.!#") == "n/a":
+        return found[0] in STAND_INS or len(found) == 2
+    # nothing but words that say that there is no answer, which a last "no" is
+    return len(found) <= 6 and found[-1] not in ("no", "not") and not _NOTHING.isdisjoint(found) and not _WHAT.isdisjoint(found) and all(w in _NOTHING or w in _WHAT or w in _BESIDE for w in found)
 
 
 def is_refusal(response: str, n: int) -> bool:
-    """Whether nothing but declining sentences and polite phrases make up ``response``, of ``n`` words."""
+    """Whether nothing but declining sentences and polite phrases make up ``response``, of ``n`` words.
+
+    Beside them may stand at most a quarter as many other words, and 8 at the most.
+    """
     if n < 3:
         return False
     declined = rest = 0
@@ -193,9 +253,11 @@ def is_refusal(response: str, n: int) -> bool:
             continue
         if _REFUSAL.occurs(found):
             declined += len(found)
-        elif not (" ".join(found) + " ").startswith(_POLITE_STARTS):
+        elif len(found) > _MOST_POLITE or POLITE.isdisjoint(found):
             rest += len(found)
-    return declined > 0 and rest <= 0.25 * declined and rest <= 8
+            if rest > 8:
+                return False
+    return declined > 0 and rest <= 0.25 * declined
 
 
 def _voted(found: list[str]) -> str | None:

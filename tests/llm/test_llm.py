@@ -245,6 +245,37 @@ def test_long_refusals():
     assert pairs.defect("Tell me about boats.", declining + " " + PROSE) is None
 
 
+#: Written after the classes and patterns; 26 of the 30 were found at once, 4 called for another form of a word or another order.
+HELD_OUT = [
+    "I apologize, but this request goes against my policies.", "I won't do that.", "As a language model I don't have the ability to browse that.", "No, I will not be discussing this topic.", "I have to pass on this one.", "We are not in a position to comment.",
+    "That lies outside my scope, I'm afraid.", "I'm going to stay silent on this.", "It would be irresponsible of me to answer.", "My rules forbid it.", "I must refrain from giving an opinion on that matter.", "I do not feel comfortable talking about the bridge.",
+    "Talking about that is not possible for me.", "I'd prefer not to say.", "I am unable to fulfil this request. Please contact a professional.", "Je regrette, mes consignes m'interdisent d'en parler.", "Je m'abstiens de commenter ce point.", "Je n'ai pas le droit d'évoquer ce sujet.",
+    "Désolé, je ne souhaite pas répondre.", "Il ne m'est pas permis d'en discuter.", "Ich möchte mich dazu nicht äußern.", "Das lehne ich ab.", "Meine Vorgaben verbieten mir eine Antwort.", "Dazu gebe ich keine Auskunft.", "Es ist mir leider nicht gestattet, darüber zu sprechen.", "Me abstengo de opinar.",
+    "Mis directrices no permiten tratar ese asunto.", "No voy a contestar a eso.", "No estoy en condiciones de ayudarte.", "Rechazo responder sobre el puente.",
+]
+
+
+@pytest.mark.parametrize("response", HELD_OUT)
+def test_refusals_in_other_words(response):
+    assert pairs.defect("Tell me about the bridge of the town.", response) == "refusal"
+    assert pairs.defect("Tell me about the bridge of the town.", response + " " + PROSE) is None
+
+
+@pytest.mark.parametrize("response", ["You can't go wrong here.", "I cannot recommend this enough.", "I am unable to stop smiling at this one.", "Unfortunately, there is more than one way.", "No.", "The boat is not in the harbour.", "Nobody answered the engineer.", "Je ne vois pas le bateau.", "Ich habe das Boot nicht gesehen.", "No hay nadie en el puente."])
+def test_no_refusals(response):
+    assert pairs.defect("Tell me about the bridge of the town.", response) != "refusal"
+
+
+@pytest.mark.parametrize("response", ["(no answer)", "[No response provided]", "<empty>", "No data available.", "#N/A", "NaN", "(leer)", "pas de réponse", "Sin respuesta", "Keine Antwort vorhanden", "[insert answer here]", "---", "\ufeff\u2060"])
+def test_stand_ins(response):
+    assert pairs.defect("Why?", response) == "empty"
+
+
+@pytest.mark.parametrize("response", ["No.", "The answer is no.", "No answer is right.", "Not the boat.", "3", "No data was lost when the boat left."])
+def test_no_stand_ins(response):
+    assert pairs.defect("Why?", response) != "empty"
+
+
 # 5
 
 
