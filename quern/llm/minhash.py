@@ -8,10 +8,14 @@ element whose time has passed the last register's can be dropped (early terminat
 the probability Jaccard similarity of their weights, which for equal weights (``weights="set"``) is the
 ordinary Jaccard similarity of the sets.
 
-The signature is cut into ``bands`` of ``rows`` registers. Records with the same set of elements are one
+The signature is cut into ``bands`` of ``rows`` registers. Records with the same (weighted) elements are one
 *class* and go on as one, so that copies never meet each other. Classes that agree in a band are
 candidates; each candidate pair is then verified on the elements themselves. With 26 bands of 4 rows a
 pair of similarity 0.7 is missed with probability (1 - 0.7^4)^26 = 0.0008, of 0.8 with 1e-6.
+
+A band key that very many classes share comes of text that they all carry, and says little about any two of
+them. Such classes are paired by *prefixes* instead: of a class's elements, the rarest first, two classes of similarity t
+must share one of those that make up a share of 1 - t of its weight. That is exact, and text which all carry is no rare element.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.lexicon import WORD
@@ -38,10 +42,13 @@ class Settings:
 
     k: int = 5
     threshold: float = 0.8
-    bands: int = 20
-    rows: int = 5
+    bands: int = 26
+    rows: int = 4
     min_words: int = 0
+    #: ``set`` compares sets by Jaccard similarity, ``count`` the elements' counts by probability Jaccard similarity.
     weights: str = "set"
+    #: Classes of one band key that are paired by it; those of larger ones are paired by prefixes, without loss.
+    bucket: int = 1000
     #: Candidate ids up to this number are broadcast (8 bytes each, and as much again for the table).
     max_broadcast_ids: int = 1_000_000
 
@@ -140,15 +147,36 @@ def probminhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n_rows
     return kept.reshape(n_rows, m)
 
 
-def _set_keys(row: np.ndarray, element: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit sums over each record's elements: records with the same set have the same."""
+def _set_keys(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums over each record's elements: records with the same elements and weights have the same."""
     a, b = np.zeros(n_rows, np.uint64), np.zeros(n_rows, np.uint64)
     with np.errstate(over="ignore"):
-        np.add.at(a, row, mixed(element ^ _MIX1))
-        np.add.at(b, row, mixed(element ^ _MIX2))
+        weighted = element + weight.astype(np.uint64) * _GOLDEN
+        np.add.at(a, row, mixed(weighted ^ _MIX1))
+        np.add.at(b, row, mixed(weighted ^ _MIX2))
     return a, b
 
 
+def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> float:
+    """The probability Jaccard similarity of weights ``x`` of the sorted elements ``a`` and ``y`` of ``b``.
+
+    It is the sum over the common elements i of 1 / sum over all j of max(x_j / x_i, y_j / y_i). Sorted by y / x, the maximum is the first
+    term for all j up to i and the second beyond.
+    """
+    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    if not len(at_a):
+        return 0.0
+    p, q = x[at_a].astype(float), y[at_b].astype(float)
+    order = np.argsort(q / p, kind="stable")
+    p, q = p[order], q[order]
+    ratio = q / p
+    last = np.searchsorted(ratio, ratio, "right")  # equal ratios count on one side
+    only_x, only_y = x.sum() - p.sum(), y.sum() - q.sum()
+    first = only_x + np.append(0.0, np.cumsum(p))[last]
+    rest = only_y + q.sum() - np.append(0.0, np.cumsum(q))[last]
+    return float((1.0 / (first / p + rest / q)).sum())
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
@@ -156,7 +184,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 def signatures(df: DataFrame, record: str, text: Column, s: Settings) -> DataFrame:
     """``(record, class, check, n, band_keys)`` of the records that have an element and ``min_words`` words.
 
-    ``class`` and ``check`` are two 64-bit keys of the record's set of elements, ``n`` is the set's size,
+    ``class`` and ``check`` are two 64-bit keys of the record's (weighted) elements, ``n`` is the number of different ones,
     ``band_keys`` holds a 64-bit key for each band.
     """
     kind = df.select(record).schema[0].dataType.simpleString()
@@ -176,9 +204,9 @@ def signatures(df: DataFrame, record: str, text: Column, s: Settings) -> DataFra
                 to[take] = np.arange(len(take))
                 ok = to[row] >= 0
                 row, element, count = to[row[ok]], element[ok], count[ok]
-                name, check = _set_keys(row, element, len(take))
-                weight = count.astype(float) if s.weights == "count" else np.ones(len(count))
-                sig = probminhash(row, element, weight, len(take), s.registers)
+                weight = count if s.weights == "count" else np.ones(len(count), np.int64)
+                name, check = _set_keys(row, element, weight, len(take))
+                sig = probminhash(row, element, weight.astype(float), len(take), s.registers)
                 with np.errstate(over="ignore"):
                     key = np.zeros((len(take), s.bands), np.uint64)
                     for j in range(s.rows):
@@ -192,19 +220,19 @@ def signatures(df: DataFrame, record: str, text: Column, s: Settings) -> DataFra
 
 
 def elements(df: DataFrame, text: Column, s: Settings) -> DataFrame:
-    """``(class, elements)``: the sorted distinct elements of each record of ``df`` that has any."""
+    """``(class, elements, weights)``: the sorted distinct elements, as signed numbers, of each record of ``df`` that has any, and their weights."""
     inner = df.select(text.alias("__text")).where(F.col("__text").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            row, element, _, _ = shingles(b.column("__text").to_pylist(), s.k, hashes)
-            name, _ = _set_keys(row, element, b.num_rows)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b.num_rows))])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(element))
-            yield pa.RecordBatch.from_arrays([_signed(name), lists], names=["class", "elements"])
+            row, element, count, _ = shingles(b.column("__text").to_pylist(), s.k, hashes)
+            weight = count if s.weights == "count" else np.ones(len(count), np.int64)
+            name, _ = _set_keys(row, element, weight, b.num_rows)
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b.num_rows))]), pa.int32())
+            yield pa.RecordBatch.from_arrays([_signed(name), pa.ListArray.from_arrays(ends, _signed(element)), pa.ListArray.from_arrays(ends, pa.array(weight, pa.int32()))], names=["class", "elements", "weights"])
 
-    return inner.mapInArrow(run, "class bigint, elements array<bigint>").where(F.size("elements") > 0)
+    return inner.mapInArrow(run, "class bigint, elements array<bigint>, weights array<int>").where(F.size("elements") > 0)
 
 
 @dataclass
@@ -215,14 +243,33 @@ class Groups:
     links: DataFrame
 
 
+def _elements_of(df: DataFrame, record: str, text: Column, signed: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """``elements`` of the ``classes`` only: one record of each is read again."""
+    reps = checkpointed(signed.select("record", "class").join(classes, "class", "left_semi").groupBy("class").agg(F.min("record").alias("__rep")))
+    ids = broadcast_if_small(reps.select("__rep").distinct(), s.max_broadcast_ids)
+    return elements(df.join(ids, df[record] == ids["__rep"], "left_semi"), text, s).dropDuplicates(["class"])
+
+
+def _pairs_by_prefix(sets: DataFrame, s: Settings) -> DataFrame:
+    """``(class_a, class_b, n_a, n_b)`` of all classes of ``sets`` that may have the similarity ``s.threshold``."""
+    each = sets.select("class", F.size("elements").alias("n"), F.explode(F.arrays_zip("elements", "weights")).alias("e"), F.aggregate("weights", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("mass"))
+    each = each.select("class", "n", "mass", F.col("e.elements").alias("element"), F.col("e.weights").alias("weight"))
+    common = each.groupBy("element").agg(F.count("*").alias("classes")).where("classes > 1")  # an element of one class pairs nothing, and is the rarest
+    w = Window.partitionBy("class").orderBy("classes", "element").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = each.join(common, "element", "left").fillna(1, ["classes"]).withColumn("before", F.coalesce(F.sum("weight").over(w), F.lit(0)))
+    prefix = ranked.where((F.col("classes") > 1) & (F.col("before") <= (1 - s.threshold) * F.col("mass") + 1e-9)).select("element", "class", "n")
+    a, b = (prefix.select("element", F.col("class").alias(f"class_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    return a.join(b, "element").where(F.col("class_a") < F.col("class_b")).drop("element")
+
+
 def near_duplicates(df: DataFrame, record: str, text: Column, s: Settings = Settings()) -> Groups:
-    """Links between all different classes whose Jaccard similarity is at least ``s.threshold``, and the classes' members.
+    """Links between all different classes whose similarity is at least ``s.threshold``, and the classes' members.
 
-    Exact copies (records with the same set of elements) are members of one class and are not paired; nothing
+    Exact copies (records with the same elements and weights) are members of one class and are not paired; nothing
     else is merged, capped or dropped. Null texts and records with fewer than ``s.min_words`` words or no
     element take no part. A record that is delivered several times counts once for each set of elements it came
-    with. An empty table gives empty results. ``s.weights`` shapes the search for candidates; similarity is
-    always measured on the sets.
+    with. An empty table gives empty results. ``s.weights`` says what is searched for and measured: the Jaccard similarity of sets, or
+    the probability Jaccard similarity of counts.
 
     What is shuffled: a signature for each record (8 bytes a band), then one key and class for each band and
     class, never texts; texts are read again only for records whose class is in a candidate pair.
@@ -231,34 +278,44 @@ def near_duplicates(df: DataFrame, record: str, text: Column, s: Settings = Sett
     members = signed.select("record", "class", "check").distinct()
     classes = signed.groupBy("class", "check").agg(F.first("band_keys").alias("band_keys"), F.first("n").alias("n"))
     bands = classes.select(F.explode("band_keys").alias("key"), "class", "n")
-    a = bands.select("key", F.col("class").alias("class_a"), F.col("n").alias("n_a"))
-    b = bands.select("key", F.col("class").alias("class_b"), F.col("n").alias("n_b"))
-    # Sizes must fit: a similarity of t needs sizes that differ by a factor of 1/t at most.
-    fits = F.least("n_a", "n_b") >= s.threshold * F.greatest("n_a", "n_b") - 1e-9
-    candidates = checkpointed(a.join(b, "key").where((F.col("class_a") < F.col("class_b")) & fits).select("class_a", "class_b", "n_a", "n_b").distinct())
+    shared = checkpointed(bands.join(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key"))
+    a, b = (shared.where(F.col("size") <= s.bucket).select("key", F.col("class").alias(f"class_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    pairs = a.join(b, "key").where(F.col("class_a") < F.col("class_b")).drop("key")
+    crowded = shared.where(F.col("size") > s.bucket).select("class").distinct()
+    if not crowded.isEmpty():
+        pairs = pairs.unionByName(_pairs_by_prefix(_elements_of(df, record, text, signed, crowded, s), s))
+    if s.weights == "set":  # a similarity of t needs sizes that differ by a factor of 1/t at most
+        pairs = pairs.where(F.least("n_a", "n_b") >= s.threshold * F.greatest("n_a", "n_b") - 1e-9)
+    candidates = checkpointed(pairs.distinct())
     wanted = candidates.select(F.col("class_a").alias("class")).union(candidates.select(F.col("class_b"))).distinct()
-    reps = checkpointed(signed.select("record", "class").join(wanted, "class", "left_semi").groupBy("class").agg(F.min("record").alias("__rep")))
-    ids = broadcast_if_small(reps.select("__rep").distinct(), s.max_broadcast_ids)
-    sets = elements(df.join(ids, df[record] == ids["__rep"], "left_semi"), text, s).dropDuplicates(["class"])
-    sets_a = sets.select(F.col("class").alias("class_a"), F.col("elements").alias("elements_a"))
-    sets_b = sets.select(F.col("class").alias("class_b"), F.col("elements").alias("elements_b"))
-    both = F.size(F.array_intersect("elements_a", "elements_b"))
-    similarity = both / (F.col("n_a") + F.col("n_b") - both)
-    links = (
-        candidates.join(sets_a, "class_a").join(sets_b, "class_b")
-        .select("class_a", "class_b", similarity.alias("similarity"))
-        .where(F.col("similarity") >= s.threshold - 1e-12)
-    )
-    return Groups(members, links)
-
-
-def duplicate_pairs(groups: Groups, expand_up_to: int | None = None, block: int = 1000) -> DataFrame:
+    sets = _elements_of(df, record, text, signed, wanted, s)
+    sets_a, sets_b = (sets.select(F.col("class").alias(f"class_{x}"), F.col("elements").alias(f"elements_{x}"), F.col("weights").alias(f"weights_{x}")) for x in "ab")
+    both = candidates.join(sets_a, "class_a").join(sets_b, "class_b")
+    if s.weights == "set":
+        common = F.size(F.array_intersect("elements_a", "elements_b"))
+        measured = both.select("class_a", "class_b", (common / (F.col("n_a") + F.col("n_b") - common)).alias("similarity"))
+    else:
+        measured = both.select("class_a", "class_b", "elements_a", "weights_a", "elements_b", "weights_b").mapInArrow(_measured, "class_a bigint, class_b bigint, similarity double")
+    return Groups(members, measured.where(F.col("similarity") >= s.threshold - 1e-12))
+
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        lists = [b.column(f"{c}_{x}") for x in "ab" for c in ("elements", "weights")]
+        found = []
+        for i in range(b.num_rows):
+            e, v, f, w = (c[i].values.to_numpy(zero_copy_only=False) for c in lists)
+            found.append(probability_jaccard(e, v, f, w))
+        yield pa.RecordBatch.from_arrays([b.column("class_a"), b.column("class_b"), pa.array(found, pa.float64())], names=["class_a", "class_b", "similarity"])
+
+
+def duplicate_pairs(groups: Groups, block: int = 1000) -> DataFrame:
     """``(record_a, record_b)``, record_a < record_b: all pairs of linked records.
 
     Records of different, linked classes all meet, and so do those of one class, whose texts may differ in case, punctuation,
     white space or repeated passages. A class is cut into blocks of about ``block`` records and each pair of blocks is joined
-    under a key of its own, so the square of a large class is spread over tasks. ``expand_up_to`` asks for less: in classes of more
-    members each meets the class's smallest record only, as ``duplicate_groups`` names it.
+    under a key of its own, so the square of a large class is spread over tasks. Where pairs of copies aren't wanted, ``class_pairs``
+    and ``duplicate_groups`` say the same in a row a link and a row a record.
     """
     sizes = groups.members.groupBy("class").agg(F.count("*").alias("size")).where("size > 1")
     several = groups.members.groupBy("record").agg(F.count("*").alias("__c")).where("__c > 1").select("record", F.lit(True).alias("several"))
@@ -274,18 +331,22 @@ def duplicate_pairs(groups: Groups, expand_up_to: int | None = None, block: int
     of = {x: m.select(F.col("class").alias(f"class_{x}"), F.col("at").alias(f"at_{x}"), F.col("record").alias(x)) for x in "ab"}
     linked = links.join(of["a"], ["class_a", "at_a"]).join(of["b"], ["class_b", "at_b"])
 
-    inside = m.where("size > 1" if expand_up_to is None else f"size > 1 and size <= {expand_up_to:d}")
+    inside = m.where("size > 1")
     left = inside.select("class", "check", F.col("at").alias("at_a"), every_block.alias("at_b"), F.col("record").alias("a"))
     right = inside.select("class", "check", every_block.alias("at_a"), F.col("at").alias("at_b"), F.col("record").alias("b"))
     pairs = linked.select(F.least("a", "b").alias("record_a"), F.greatest("a", "b").alias("record_b")).union(left.join(right, ["class", "check", "at_a", "at_b"]).where("a < b").select("a", "b"))
-    if expand_up_to is not None:
-        large = m.where(F.col("size") > expand_up_to).select("class", "check", "record")
-        pairs = pairs.union(large.join(large.groupBy("class", "check").agg(F.min("record").alias("rep")), ["class", "check"]).select("rep", "record"))
     pairs = pairs.where("record_a < record_b")
     # A pair can come twice only if one of its records is in several classes: without any, the pairs aren't shuffled once more.
     return pairs if m.where("several").isEmpty() else pairs.distinct()
 
 
+def class_pairs(groups: Groups) -> DataFrame:
+    """``(rep_a, rep_b, similarity)``, rep_a < rep_b: the links between classes, each named by its smallest record; ``duplicate_groups`` has the members."""
+    reps = groups.members.groupBy("class").agg(F.min("record").alias("rep"))
+    a, b = (reps.select(F.col("class").alias(f"class_{x}"), F.col("rep").alias(x)) for x in "ab")
+    return groups.links.join(a, "class_a").join(b, "class_b").select(F.least("a", "b").alias("rep_a"), F.greatest("a", "b").alias("rep_b"), "similarity")
+
+
 def duplicate_groups(groups: Groups) -> DataFrame:
     """``(record, rep, copies, links)`` of every record: the smallest record of its class, the class's size, and the number of other classes linked to it."""
     m = groups.members

@@ -54,7 +54,6 @@ def p1_statistics(spark, sf):
 # 2. Near-duplicates
 
 
-
 def conversation():
     """A conversation's words: those of the prompt, a space and the response, null as empty."""
     return F.concat(F.coalesce("prompt", F.lit("")), F.lit(" "), F.coalesce("response", F.lit("")))
@@ -63,17 +62,25 @@ def conversation():
 CONVERSATION_SETTINGS = minhash.Settings(k=3, threshold=0.70, bands=26, rows=4, min_words=20)
 
 
+def _near_conversations(spark: SparkSession, sf: str, s: minhash.Settings) -> minhash.Groups:
+    return minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", conversation(), s)
+
+
 @query("p2_found", sql.P2_FOUND)
 def p2_found(spark, sf):
-    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", conversation(), CONVERSATION_SETTINGS)
-    return minhash.duplicate_pairs(groups).select(F.col("record_a").alias("conv_a"), F.col("record_b").alias("conv_b"))
+    return minhash.duplicate_pairs(_near_conversations(spark, sf, CONVERSATION_SETTINGS)).select(F.col("record_a").alias("conv_a"), F.col("record_b").alias("conv_b"))
 
 
-@query("p2_groups")
+@query("p2_groups", sql.P2_GROUPS)
 def p2_groups(spark, sf):
     """Near-duplicates of five-word shingles at 0.8, one row a conversation."""
-    groups = minhash.near_duplicates(table(spark, sf, "sft_conversations", heavy=True).select("conv_id", "prompt", "response"), "conv_id", conversation())
-    return minhash.duplicate_groups(groups).withColumnRenamed("record", "conv_id")
+    return minhash.duplicate_groups(_near_conversations(spark, sf, minhash.Settings())).withColumnRenamed("record", "conv_id")
+
+
+@query("p2_weighted", sql.P2_WEIGHTED)
+def p2_weighted(spark, sf):
+    """Near-duplicates by the counts of five-word shingles: pairs of class representatives of a probability Jaccard similarity of 0.8 or more."""
+    return minhash.class_pairs(_near_conversations(spark, sf, minhash.Settings(weights="count"))).withColumn("similarity", F.round("similarity", 6))
 
 
 # 3. Packing

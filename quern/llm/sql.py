@@ -10,6 +10,32 @@ WITH c AS (SELECT DISTINCT conv_id, {_WORDS.format("coalesce(prompt, '') || ' '
 SELECT conv_a, conv_b FROM p JOIN n x ON x.conv_id = conv_a JOIN n y ON y.conv_id = conv_b WHERE shared * 10 >= 7 * (x.n + y.n - shared)
 """
 
+_CONVERSATION = _WORDS.format("coalesce(prompt, '') || ' ' || coalesce(response, '')")
+_FIVE = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))"
+
+P2_GROUPS = f"""
+WITH c AS (SELECT DISTINCT conv_id, {_CONVERSATION} AS w FROM sft_conversations),
+  s AS (SELECT conv_id, list_sort(list_distinct({_FIVE})) AS g FROM c WHERE len(w) >= 5),
+  k AS (SELECT g, min(conv_id) AS rep, count(DISTINCT conv_id) AS copies, len(g) AS n FROM s GROUP BY g),
+  e AS (SELECT rep, n, unnest(g) AS g FROM k),
+  p AS (SELECT a.rep FROM e a JOIN e b ON a.g = b.g AND a.rep <> b.rep GROUP BY a.rep, b.rep, a.n, b.n HAVING count(*) * 10 >= 8 * (a.n + b.n - count(*))),
+  l AS (SELECT rep, count(*) AS links FROM p GROUP BY rep)
+SELECT s.conv_id, k.rep, k.copies, coalesce(l.links, 0)::BIGINT AS links FROM (SELECT DISTINCT * FROM s) s JOIN k USING (g) LEFT JOIN l ON l.rep = k.rep
+"""
+
+P2_WEIGHTED = f"""
+WITH c AS (SELECT DISTINCT conv_id, {_CONVERSATION} AS w FROM sft_conversations),
+  s AS (SELECT conv_id, list_sort({_FIVE}) AS g FROM c WHERE len(w) >= 5),
+  k AS (SELECT g, min(conv_id) AS rep FROM s GROUP BY g),
+  e AS (SELECT rep, g, count(*)::DOUBLE AS x FROM (SELECT rep, unnest(g) AS g FROM k) GROUP BY 1, 2),
+  p AS (SELECT a.rep AS rep_a, b.rep AS rep_b FROM e a JOIN e b ON a.g = b.g AND a.rep < b.rep GROUP BY 1, 2),
+  u AS (SELECT rep_a, rep_b, g, sum(x) AS x, sum(y) AS y FROM (SELECT rep_a, rep_b, g, x, 0.0::DOUBLE AS y FROM p JOIN e ON e.rep = rep_a UNION ALL SELECT rep_a, rep_b, g, 0.0::DOUBLE, x FROM p JOIN e ON e.rep = rep_b) GROUP BY 1, 2, 3),
+  r AS (SELECT *, CASE WHEN x > 0 THEN y / x ELSE 'inf'::DOUBLE END AS r FROM u),
+  t AS (SELECT *, sum(x) OVER w AS first, sum(y) OVER (PARTITION BY rep_a, rep_b) - sum(y) OVER w AS rest FROM r WINDOW w AS (PARTITION BY rep_a, rep_b ORDER BY r RANGE UNBOUNDED PRECEDING)),
+  m AS (SELECT rep_a, rep_b, sum(1.0::DOUBLE / (first / x + rest / y)) AS similarity FROM t WHERE x > 0 AND y > 0 GROUP BY 1, 2)
+SELECT rep_a, rep_b, round(similarity, 6) AS similarity FROM m WHERE similarity >= 0.8 - 1e-12
+"""
+
 P3_FOUND = """
 WITH r AS (SELECT DISTINCT p.example_id, p.run_id, p.seq_no, p.input_ids, bos_id, eos_id, pad_id, sequence_length FROM packed_examples p JOIN pack_runs USING (run_id)),
   l AS (SELECT *, list_max(list_transform(range(1, len(input_ids) + 1), lambda i: CASE WHEN input_ids[i] <> pad_id THEN i ELSE 0 END)) AS n FROM r),

@@ -112,8 +112,11 @@ def test_near_duplicates(spark):
     groups = minhash.near_duplicates(d, "i", F.col("t"), s)
     expected = jaccard_pairs(texts, 3, 0.7, 20)
     assert {tuple(r) for r in minhash.duplicate_pairs(groups).collect()} == expected
-    stars = {tuple(r) for r in minhash.duplicate_pairs(groups, expand_up_to=1).collect()}
-    assert stars <= expected and {x for p in stars for x in p} == {x for p in expected for x in p}
+    # by prefixes alone the same comes out
+    crowded = minhash.near_duplicates(d, "i", F.col("t"), minhash.Settings(k=3, threshold=0.7, bands=26, rows=4, min_words=20, bucket=1))
+    assert {tuple(r) for r in minhash.duplicate_pairs(crowded).collect()} == expected
+    reps = {tuple(r)[:2] for r in minhash.class_pairs(groups).collect()}
+    assert reps <= expected and all(a < b for a, b in reps)
     g = {r.record: r for r in minhash.duplicate_groups(groups).collect()}
     assert g[n + 3].rep == g[n + 4].rep == g[0].rep and g[0].copies >= 3 and n not in g and n + 2 not in g
     empty = minhash.near_duplicates(d.limit(0), "i", F.col("t"), s)
@@ -158,6 +161,38 @@ def test_probminhash_estimates_probability_jaccard():
     assert abs((sig[0] == x).mean() - 0.75) < 0.03
 
 
+def probability_jaccard(x, y):
+    return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in {*x, *y}) for i in x if i in y)
+
+
+def test_weighted_near_duplicates(spark):
+    rng = random.Random(8)
+    for _ in range(50):
+        x, y = ({i: rng.randint(1, 4) for i in rng.sample(range(12), rng.randint(1, 10))} for _ in range(2))
+        arrays = [np.array(v) for d in (x, y) for v in (sorted(d), [d[k] for k in sorted(d)])]
+        assert abs(minhash.probability_jaccard(*arrays) - probability_jaccard(x, y)) < 1e-9
+    # boilerplate in all, words repeated more or less often: sets alone would link too much
+    boiler, texts = " ".join(f"b{i}" for i in range(15)), {}
+    for n in range(120):
+        own = [f"o{n // 4}x{i}" for i in range(rng.randint(5, 12))]
+        texts[n] = " ".join([boiler, *own, *own * rng.choice([0, 0, 1, 3])])
+    weights = {}
+    for i, t in texts.items():
+        w = t.split()
+        weights[i] = {}
+        for j in range(len(w) - 1):
+            weights[i][tuple(w[j : j + 2])] = weights[i].get(tuple(w[j : j + 2]), 0) + 1
+    least = {}
+    for i in sorted(weights):
+        least.setdefault(tuple(sorted(weights[i].items())), i)
+    expected = {(a, b) for a, b in itertools.combinations(sorted(least.values()), 2) if probability_jaccard(weights[a], weights[b]) >= 0.8}
+    d = spark.createDataFrame(list(texts.items()), "i bigint, t string").repartition(4)
+    for bucket in (1000, 5):
+        groups = minhash.near_duplicates(d, "i", F.col("t"), minhash.Settings(k=2, weights="count", bucket=bucket))
+        assert {tuple(r)[:2] for r in minhash.class_pairs(groups).collect()} == expected
+    assert expected
+
+
 # 3
 
 
