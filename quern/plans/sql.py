@@ -19,7 +19,15 @@ def pieces(x: str) -> str:
     return rf"list_filter(string_split_regex({x}, '{BL}+'), lambda w: w <> '')"
 
 
+def gpt2_pieces(x: str) -> str:
+    """The pieces of GPT-2's split pattern. A mark before the last blank of each run stands for the pattern's look-ahead."""
+    marked = rf"regexp_replace(coalesce({x}, ''), '([\s\x{{85}}\p{{Z}}])([^\s\x{{85}}\p{{Z}}])', chr(57344) || '\1\2', 'g')"
+    pattern = r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\x{85}\p{Z}\p{L}\p{N}\x{E000}]+|[\s\x{85}\p{Z}]+"
+    return f"regexp_extract_all({marked}, '{pattern}')"
+
+
 def clean(x: str) -> str:
+    # fixed values: the cleaning patterns
     url = r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\(\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
     t = f"regexp_replace({x}, '{url}', '', 'g')"
     t = rf"regexp_replace(regexp_replace({t}, '```[\s\S]*?```', '', 'g'), '`[^`]*`', '', 'g')"
@@ -29,6 +37,7 @@ def clean(x: str) -> str:
 
 def message(x: str) -> str:
     t = collapse(f"coalesce({x}, '')")
+    # fixed values: the marks that a template's text may hold
     for p in (r"(?is)<\|im_start\|>.*?<\|im_end\|>", "(?i)### Instruction:", "(?i)### Response:", r"(?i)Human:\s*", r"(?i)Assistant:\s*"):
         t = f"regexp_replace({t}, '{p}', '', 'g')"
     return strip(t)

@@ -244,6 +244,6 @@ def template_multi_turn_pairs(spark, sf):
     return templates.multi_turn_pairs(_turns(spark, sf), "history", "turn", "role", "content", "instruct")
 
 
-@query("tokens_gpt2_count", None)
+@query("tokens_gpt2_count", f"SELECT DISTINCT conv_id, len({sql.gpt2_pieces('text')})::BIGINT AS tokens, token_count FROM sft_conversations")
 def tokens_gpt2_count(spark, sf):
     return _sft(spark, sf, gpt2_token_count(F.col("text")).alias("tokens"), "token_count")
