@@ -6,8 +6,9 @@ there is none and all bins are in use, the fullest (the lowest bit of all) is cl
 one pass, with memory for the open bins only. An item is cut only if it is longer than the capacity: into
 full bins and a remainder that is packed like any item.
 
-A stream of items (a run, a capacity) is cut into ``shards`` by a hash of the item, each packed on its own, so
-that one stream may hold any share of the data; the price is at most ``open_bins`` part-filled bins a shard.
+A stream of items (a run, a capacity) is cut into shards by a hash of the item, each packed on its own, so
+that one stream may hold any share of the data. A shard holds about ``items_per_shard`` items, so a small stream is packed whole and
+the price, at most ``open_bins`` part-filled bins a shard, stays a small share of the bins.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.session import broadcast_if_small
+from quern.session import broadcast_if_small, checkpointed
 
 
 class BestFit:
@@ -72,18 +73,20 @@ class BestFit:
         return out
 
 
-def pack(items: DataFrame, stream: str, item: list[str], length: str, capacity: str, shards: int = 16, open_bins: int = 64) -> DataFrame:
+def pack(items: DataFrame, stream: str, item: list[str], length: str, capacity: str, items_per_shard: int = 50_000, open_bins: int = 64) -> DataFrame:
     """``(stream, shard, bin, piece, pieces, offset, size)`` before the columns ``item`` of each piece of each item.
 
     ``stream`` names the column of the streams, ``capacity`` that of their bins' capacity (equal within a stream).
     ``bin`` counts from 0 in a stream's shard. Items without a stream, of null or no length, or with a capacity
     below 1 aren't packed. Repeated rows are repeated items. ``item`` may hold any columns, also ones named like
-    the new ones (these then get a leading underscore, as in the result).
+    the new ones (these then get a leading underscore, as in the result). Items are read twice, to be counted and to be packed.
     """
     new = ["shard", "bin", "piece", "pieces", "offset", "size"]
     kept = items.select(F.col(stream).alias("__stream"), F.col(capacity).cast("int").alias("__capacity"), F.col(length).cast("bigint").alias("__length"), *[F.col(c).alias(f"k_{c}") for c in item])
     kept = kept.where("__stream is not null and __length > 0 and __capacity > 0").withColumn("__order", F.xxhash64(*[F.col(f"k_{c}") for c in item]))
-    kept = kept.withColumn("__shard", F.pmod("__order", F.lit(shards)).cast("int"))
+    counted = kept.groupBy("__stream").agg(F.ceil(F.count("*") / items_per_shard).alias("__shards")).where("__shards > 1")
+    # only streams of more than one shard are looked up
+    kept = kept.join(broadcast_if_small(counted, 100_000), "__stream", "left").withColumn("__shard", F.pmod("__order", F.coalesce("__shards", F.lit(1))).cast("int")).drop("__shards")
     types = {f.name: f.dataType.simpleString() for f in kept.schema}
     schema = f"`__stream` {types['__stream']}, __shard int, __bin bigint, __piece int, __pieces int, __offset int, __size int, " + ", ".join(f"`k_{c}` {types[f'k_{c}']}" for c in item)
     ordered = kept.repartition("__stream", "__shard").sortWithinPartitions("__stream", "__shard", "__order", *[f"k_{c}" for c in item])
@@ -113,12 +116,17 @@ def pack(items: DataFrame, stream: str, item: list[str], length: str, capacity:
     return ordered.mapInArrow(run, schema).select(*first, *[F.col(f"__{n}").alias(named[n]) for n in new], *[F.col(f"k_{c}").alias(c) for c in item])
 
 
-def fill(packed: DataFrame, stream: str, capacity: DataFrame) -> DataFrame:
-    """How full the bins of each stream are; ``capacity`` has ``(stream, capacity)``."""
+def fill(packed: DataFrame, stream: str, capacity: DataFrame, open_bins: int = 64) -> DataFrame:
+    """How full the bins of each stream are; ``capacity`` has ``(stream, capacity)``.
+
+    ``within_bound``: whether there are no more bins than 1.7 times the least possible (the proven bound of bounded-space best-fit for long streams)
+    and the open bins of each shard.
+    """
     per = packed.groupBy(stream).agg(
-        F.count_distinct("shard", "bin").alias("bins"), F.sum("size").alias("places_used"), F.sum(F.when(F.col("piece") == 0, 1).otherwise(0)).alias("items"), F.sum(F.when((F.col("piece") == 0) & (F.col("pieces") > 1), 1).otherwise(0)).alias("items_cut")
+        F.count_distinct("shard", "bin").alias("bins"), F.count_distinct("shard").alias("shards"), F.sum("size").alias("places_used"), F.sum(F.when(F.col("piece") == 0, 1).otherwise(0)).alias("items"), F.sum(F.when((F.col("piece") == 0) & (F.col("pieces") > 1), 1).otherwise(0)).alias("items_cut")
     )
-    return per.join(capacity, stream).withColumn("fill", F.col("places_used") / (F.col("bins") * F.col("capacity"))).withColumn("least_bins", F.ceil(F.col("places_used") / F.col("capacity")))
+    sized = per.join(capacity, stream).withColumn("fill", F.col("places_used") / (F.col("bins") * F.col("capacity"))).withColumn("least_bins", F.ceil(F.col("places_used") / F.col("capacity")))
+    return sized.withColumn("within_bound", F.col("bins") <= 1.7 * F.col("least_bins") + F.col("shards") * open_bins)
 
 
 _WHOLE, _HEAD, _THROUGH, _TAIL = 0, 1, 2, 3
@@ -209,13 +217,14 @@ def packed_items(pieces: DataFrame) -> DataFrame:
     return whole.unionByName(spread.select("run_id", F.col("a.seq_no").alias("seq_no"), F.col("a.idx").alias("idx"), F.col("z.seq_no").alias("last_seq"), "length", "capacity"))
 
 
-def needless_cuts(rows: DataFrame, runs: DataFrame, shards: int = 4, open_bins: int = 64) -> DataFrame:
+def needless_cuts(rows: DataFrame, runs: DataFrame, items_per_shard: int = 50_000, open_bins: int = 64) -> DataFrame:
     """``(example_id)`` of the packed rows that hold a piece of an item which needn't have been cut.
 
     The items of each run are taken out of its rows and packed anew by best-fit; those that lie in several rows
-    now but in one bin then were cut needlessly. Each row counts once. An item without end is no item.
+    now but in one bin then were cut needlessly. As the packer never cuts what fits a bin, these are the items of at most the capacity, as the
+    statement asks, whatever bins they come to lie in. Each row counts once. An item without end is no item.
     """
-    pieces = packed_pieces(rows, runs)
-    packed = pack(packed_items(pieces), "run_id", ["seq_no", "idx", "last_seq"], "length", "capacity", shards, open_bins)
+    items = checkpointed(packed_items(packed_pieces(rows, runs)))
+    packed = pack(items, "run_id", ["seq_no", "idx", "last_seq"], "length", "capacity", items_per_shard, open_bins)
     cut = packed.where("last_seq > seq_no and pieces = 1").select("run_id", F.explode(F.sequence("seq_no", "last_seq")).alias("seq_no")).distinct()
     return rows.where("input_ids is not null").select("example_id", "run_id", "seq_no").join(cut, ["run_id", "seq_no"], "left_semi").select("example_id").distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.words import gpt2_token_count
 from quern.llm import binpack, leaks, minhash, mixing, pairs, quality, sql, stuffing
+from quern.plans.sql import gpt2_pieces
 from quern.session import broadcast_if_small, checkpointed, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,10 +106,20 @@ def p3_packing(spark, sf):
     return _packed_conversations(spark, sf)
 
 
+def _fill(spark: SparkSession, sf: str) -> DataFrame:
+    capacities = table(spark, sf, "pack_runs").select(F.col("sequence_length").alias("row_length")).where("row_length > 0").distinct().withColumn("capacity", F.col("row_length"))
+    return binpack.fill(_packed_conversations(spark, sf), "row_length", capacities)
+
+
 @query("p3_fill")
 def p3_fill(spark, sf):
-    capacities = table(spark, sf, "pack_runs").select(F.col("sequence_length").alias("row_length")).distinct().withColumn("capacity", F.col("row_length"))
-    return binpack.fill(_packed_conversations(spark, sf), "row_length", capacities)
+    return _fill(spark, sf)
+
+
+@query("p3_totals", sql.P3_TOTALS)
+def p3_totals(spark, sf):
+    """What doesn't depend on the order of packing: every place is used once, only too long items are cut, and the bins keep their bound."""
+    return _fill(spark, sf).select("row_length", "items", "items_cut", "places_used", "least_bins", "within_bound")
 
 
 @query(
@@ -166,14 +177,8 @@ def p5_leaks(spark, sf):
 
 # 6. Mixing
 
-#: The size of a source in the SQL: the pieces of GPT-2's split pattern. A mark before the last blank of each run
-#: stands for the pattern's look-ahead.
-_TOKENS_SQL = r"""
-    sizes AS (
-      SELECT lower(trim(source)) AS source, sum(len(regexp_extract_all(
-          regexp_replace(coalesce(text, ''), '([\s\x{85}\p{Z}])([^\s\x{85}\p{Z}])', chr(57344) || '\1\2', 'g'),
-          '''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\x{85}\p{Z}\p{L}\p{N}\x{E000}]+|[\s\x{85}\p{Z}]+')))::BIGINT AS source_tokens
-      FROM documents WHERE source IS NOT NULL GROUP BY 1),
+_TOKENS_SQL = f"""
+    sizes AS (SELECT lower(trim(source)) AS source, sum(len({gpt2_pieces('text')}))::BIGINT AS source_tokens FROM documents WHERE source IS NOT NULL GROUP BY 1),
     plan AS (
       SELECT m.mix_name, m.source, m.weight, m.max_repeats, coalesce(s.source_tokens, 0) AS source_tokens,
         m.weight / sum(m.weight) OVER (PARTITION BY mix_name) * sum(coalesce(s.source_tokens, 0)) OVER (PARTITION BY mix_name) AS target_tokens,

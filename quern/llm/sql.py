@@ -1,5 +1,7 @@
 """SQL that gives the results of training-data queries, where SQL can."""
 
+from quern.plans.sql import gpt2_pieces
+
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
 
 P2_FOUND = f"""
@@ -47,6 +49,12 @@ WITH r AS (SELECT DISTINCT p.example_id, p.run_id, p.seq_no, p.input_ids, bos_id
 SELECT DISTINCT example_id FROM f JOIN m USING (run_id, item) WHERE coalesce(ended, 0) = 0
 """
 
+P3_TOTALS = f"""
+WITH c AS (SELECT DISTINCT sequence_length AS row_length FROM pack_runs WHERE sequence_length > 0),
+  d AS (SELECT conv_id, max(CASE WHEN token_count > 0 THEN token_count ELSE len({gpt2_pieces("text")}) END) + 2 AS n FROM sft_conversations GROUP BY 1)
+SELECT row_length, count(*) AS items, count(CASE WHEN n > row_length THEN 1 END) AS items_cut, sum(n)::BIGINT AS places_used, ceil(sum(n) / row_length)::BIGINT AS least_bins, true AS within_bound FROM c, d GROUP BY 1
+"""
+
 P5_FOUND = f"""
 WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL),
   g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' '))) AS g FROM d WHERE len(w) >= 10),

@@ -217,7 +217,8 @@ def test_best_fit():
 def test_pack_frame(spark):
     rows = [("s", i, (i * 7) % 23, 16) for i in range(200)] + [(None, 1, 3, 16), ("s", 500, None, 16), ("t", 1, 5, 8)]
     d = spark.createDataFrame(rows, "stream string, bin int, n int, cap int")
-    got = binpack.pack(d, "stream", ["bin"], "n", "cap", shards=3, open_bins=4).collect()
+    got = binpack.pack(d, "stream", ["bin"], "n", "cap", items_per_shard=70, open_bins=4).collect()
+    assert {r.shard for r in got} == {0, 1, 2}
     fill: dict = {}
     for r in got:
         fill[r.stream, r.shard, r["_bin"]] = fill.get((r.stream, r.shard, r["_bin"]), 0) + r.size
@@ -226,6 +227,16 @@ def test_pack_frame(spark):
     assert binpack.pack(d.limit(0), "stream", ["bin"], "n", "cap").count() == 0
 
 
+def test_fill(spark):
+    rng = random.Random(14)
+    rows = [(s, i, min(3000, int(60 * math.exp(rng.gauss(1, 0.8)))), 2048) for s, n in (("large", 12_000), ("small", 600)) for i in range(n)]
+    d = spark.createDataFrame(rows, "stream string, i int, n int, cap int")
+    packed = binpack.pack(d, "stream", ["i"], "n", "cap", items_per_shard=4000)
+    got = {r.stream: r for r in binpack.fill(packed, "stream", spark.createDataFrame([("large", 2048), ("small", 2048)], "stream string, capacity int")).collect()}
+    assert (got["large"].shards, got["small"].shards) == (3, 1) and all(r.within_bound and r.fill > 0.96 for r in got.values())
+    assert {s: r.items_cut for s, r in got.items()} == {s: sum(n > 2048 for t, _, n, _ in rows if t == s) for s in got}
+
+
 def test_needless_cuts(spark):
     runs = spark.createDataFrame([(1, 8, 1, 2, 0), (2, 8, 1, 2, 2)], "run_id bigint, sequence_length int, bos_id int, eos_id int, pad_id int")
     rows = [
