@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.words import gpt2_token_count
+from quern.operators.order import position, running_sum
 from quern.session import broadcast_if_small, checkpointed
 
 
@@ -73,8 +74,8 @@ def draw(docs: DataFrame, planned: DataFrame, block_tokens: int, seed: int) -> D
     whole = placed.where("full > 0").select("mix_name", "source", "doc", F.explode(F.sequence(F.lit(0), F.col("full").cast("int") - 1)).alias("copy"), "block", "tokens")
     part = placed.where("rest > 0")
     # blocks of the last copy, in a random order, until the rest is reached; one row a block
-    sums = checkpointed(part.groupBy("mix_name", "source", "block").agg(F.sum("tokens").alias("block_sum"), F.first("rest").alias("rest")))
-    before = running_sum(sums.withColumn("at", _unit(F.lit(seed + 1), "mix_name", "source", "block")), ["mix_name", "source"], "at", "block_sum", "before")
+    sums = part.groupBy("mix_name", "source", "block").agg(F.sum("tokens").alias("block_sum"), F.first("rest").alias("rest"))
+    before = running_sum(sums.withColumn("at", F.xxhash64(F.lit(seed + 1), "mix_name", "source", "block")), ["mix_name", "source"], "at", F.col("block_sum"), "before")
     taken = before.where("before < rest").select("mix_name", "source", "block", (F.col("before") + F.col("block_sum") <= F.col("rest")).alias("all"), (F.col("rest") - F.col("before")).alias("left"))
     last = part.join(taken, ["mix_name", "source", "block"]).select("mix_name", "source", "doc", "block", "tokens", "all", "left")
     inside = Window.partitionBy("mix_name", "source", "block").orderBy(F.xxhash64(F.lit(seed + 2), "doc"), "doc").rowsBetween(Window.unboundedPreceding, -1)
@@ -83,19 +84,6 @@ def draw(docs: DataFrame, planned: DataFrame, block_tokens: int, seed: int) -> D
     return whole.unionByName(rest.select("mix_name", "source", "doc", "copy", "block", "tokens"))
 
 
-def running_sum(df: DataFrame, keys: list[str], unit: str, value: str, name: str, buckets: int = 256) -> DataFrame:
-    """``df`` with ``name``: the sum of ``value`` over the rows of the same ``keys`` before this one by ``unit``, a number in [0, 1).
-
-    Two levels: the sums of ``buckets`` ranges of ``unit`` first, then inside each range; so a key of any size is
-    spread over tasks.
-    """
-    b = df.withColumn("__bucket", F.floor(F.col(unit) * buckets).cast("int"))
-    w = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = b.groupBy(*keys, "__bucket").agg(F.sum(value).alias("__sum")).select(*keys, "__bucket", F.coalesce(F.sum("__sum").over(w), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
-    return b.withColumn("__in", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(starts, [*keys, "__bucket"]).withColumn(name, F.col("__start") + F.col("__in")).drop("__in", "__start", "__bucket")
-
-
 def leaf_quotas(counts: np.ndarray, shards: int, leaf: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """The blocks of each source for one shard, and those of all shards before it.
 
@@ -119,9 +107,9 @@ def leaf_quotas(counts: np.ndarray, shards: int, leaf: int, seed: int) -> tuple[
 def shard_quotas(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     """``(mix_name, source, shard, first, n)``: shard gets the ``n`` blocks of the source from the ``first`` on, of ``(mix_name, source, n_blocks)``."""
     spark = blocks.sparkSession
-    # one row a source of a mix: as many as the plan has, gathered for each mix
+    # one row a source of a mix: as many as the plan has, gathered for each mix and sent to the shards, which are made in the tasks
     mixes = blocks.groupBy("mix_name").agg(F.sort_array(F.collect_list(F.struct("source", "n_blocks"))).alias("of"))
-    work = mixes.crossJoin(F.broadcast(spark.range(shards).select(F.col("id").cast("int").alias("shard")))).repartition("shard")
+    work = spark.range(shards).select(F.col("id").cast("int").alias("shard")).crossJoin(broadcast_if_small(mixes, 10_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -151,12 +139,12 @@ def mix(docs: DataFrame, planned: DataFrame, shards: int | None = None, block_to
     """
     shards = shards or shard_count(planned, tokens_per_shard)
     drawn = checkpointed(draw(docs, planned, block_tokens, seed))
-    taken = drawn.select("mix_name", "source", "copy", "block").distinct().withColumn("at", _unit(F.lit(seed + 3), "mix_name", "source", "copy", "block")).withColumn("one", F.lit(1))
-    ranked = checkpointed(running_sum(taken, ["mix_name", "source"], "at", "one", "rank"))
+    taken = drawn.groupBy("mix_name", "source", "copy", "block").agg(F.xxhash64(F.lit(seed + 3), "mix_name", "source", "copy", "block").alias("at"))
+    ranked = checkpointed(position(taken, ["mix_name", "source"], "at", "rank"))
     quotas = shard_quotas(ranked.groupBy("mix_name", "source").agg(F.count("*").alias("n_blocks")), shards, seed)
     # the stretches of ranks that the shards get, rank by rank: one row a block
     by_rank = quotas.select("mix_name", "source", "shard", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("rank"))
-    placed = ranked.withColumn("rank", F.col("rank").cast("bigint")).join(by_rank, ["mix_name", "source", "rank"]).select("mix_name", "source", "copy", "block", "shard")
+    placed = ranked.join(by_rank, ["mix_name", "source", "rank"]).select("mix_name", "source", "copy", "block", "shard")
     local = Window.partitionBy("mix_name", "shard").orderBy(F.xxhash64(F.lit(seed + 4), "doc", "copy"), "doc", "copy")
     joined = drawn.join(placed, ["mix_name", "source", "copy", "block"])
     return joined.select("mix_name", "shard", (F.row_number().over(local) - 1).alias("position"), "doc", "source", "copy", "tokens")
