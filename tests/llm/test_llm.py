@@ -481,6 +481,16 @@ def test_numbers_beside_links(spark):
     assert {r.page for r in stuffing.stuffed_pages(stuffing.curves(d)).where("stuffed").collect()} == {0, 1, 2}
 
 
+def test_links_decide_by_the_curve(spark):
+    hosts = ["shop.ru", "buy.cn", "cars.jp", "deals.br", "a1.com", "b2.org", "teile.haus-24.info", "x-y.museum"]
+    assert [len(stuffing._LINK.findall(t)) for t in ("shop.ru buy.cn cars.jp", "a1.com b2.org", "e.g. this ends.The next 3.5 or v1.2 a.b", "see <a href='x'>y</a>", "ftp://h/p and me@mail.example")] == [3, 2, 0, 1, 1]
+    rng = random.Random(15)
+    spam = ["\n".join(rng.choices(hosts, k=25)), " ".join(f"{h}/best/{i}" for i, h in enumerate(hosts * 3)), "\n".join(f"Where is the boat of the day … {h}/p/{i}/q" for i, h in enumerate(hosts * 2)), "<b>" + "</b><b>".join("lamp boat".split() * 12) + "</b>", PROSE[:60] + "\n" + "\n".join(f"http://{h}/{i}/index.html" for i, h in enumerate(hosts * 6))]
+    fine = [PROSE + "\nSee shop.ru/a and https://buy.cn/index for more.", PROSE + " " + PROSE.replace("boat", "<b>boat</b>") + "\n#river #boat"]
+    d = spark.createDataFrame(list(enumerate([*spam, *fine])), "doc_id int, text string")
+    assert {r.page for r in stuffing.stuffed_pages(stuffing.curves(d)).where("stuffed").collect()} == set(range(len(spam)))
+
+
 def test_rank_frequency_fit(spark):
     text = " ".join(f"w{r}x " * int(200 / r) for r in range(1, 60))
     slope = stuffing.curves(spark.createDataFrame([(1, text)], "doc_id int, text string")).first().slope
