@@ -236,7 +236,7 @@ def is_empty(response: str | None) -> bool:
     if len(found) == 1 or t.lower().strip("()[]<>{}\"'*_.!#") == "n/a":
         return found[0] in STAND_INS or len(found) == 2
     # nothing but words that say that there is no answer, which a last "no" is
-    return len(found) <= 6 and found[-1] not in ("no", "not") and not _NOTHING.isdisjoint(found) and not _WHAT.isdisjoint(found) and all(w in _NOTHING or w in _WHAT or w in _BESIDE for w in found)
+    return 0 < len(found) <= 6 and found[-1] not in ("no", "not") and not _NOTHING.isdisjoint(found) and not _WHAT.isdisjoint(found) and all(w in _NOTHING or w in _WHAT or w in _BESIDE for w in found)
 
 
 def is_refusal(response: str, n: int) -> bool:

@@ -317,7 +317,7 @@ def test_stand_ins(response):
     assert pairs.defect("Why?", response) == "empty"
 
 
-@pytest.mark.parametrize("response", ["No.", "The answer is no.", "No answer is right.", "Not the boat.", "3", "No data was lost when the boat left."])
+@pytest.mark.parametrize("response", ["No.", "=-=-=-=-=-=-=-=-", "The answer is no.", "No answer is right.", "Not the boat.", "3", "No data was lost when the boat left."])
 def test_no_stand_ins(response):
     assert pairs.defect("Why?", response) != "empty"
 
