@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.operators.order import hashed_rank, position, running_sum, shuffle_number
+from quern.session import broadcast_if_small
 
 
 def within_budget(df: DataFrame, keys: Sequence[str], order: str, tokens: str, budget: Column) -> DataFrame:
@@ -38,6 +39,60 @@ def samples_needed(budget: Column, mean: Column, deviation: Column, margin: floa
     return F.ceil(budget / (mean + deviation * 0.5) * (1.0 + margin)).cast("bigint")
 
 
+#: The ways to plan how many rows of each source are taken.
+SAMPLING_MODES = ("target_tokens", "target_conversations", "max_samples")
+
+
+def sampling_plan(sources: DataFrame, keys: Sequence[str], mode: str, total: float | None = None, margin: float = 0.02) -> DataFrame:
+    """``sources`` (a row a source, with ``weight``) with ``planned``: how many rows of each are wanted.
+
+    ``target_tokens``: as many as make up the source's share by weight, among its ``keys``, of ``total`` tokens, from ``avg_tokens`` and ``std_tokens``.
+    ``target_conversations``: the share of ``total`` rows. ``max_samples``: ``max_samples`` of a source that has more (``n``), else the share ``weight`` of it; without
+    a maximum the share. Null weights count as 1.
+    """
+    if mode not in SAMPLING_MODES:
+        raise ValueError(f"no sampling mode {mode!r}; there are {', '.join(SAMPLING_MODES)}")
+    if mode == "max_samples":
+        share = F.floor(F.col("n") * F.coalesce("weight", F.lit(1.0)))
+        return sources.withColumn("planned", F.when((F.col("max_samples") > 0) & (F.col("n") > F.col("max_samples")), F.col("max_samples")).otherwise(share).cast("bigint"))
+    if total is None:
+        raise ValueError(f"{mode} needs a total")
+    s = weighted_budgets(sources.withColumn("__w", F.coalesce("weight", F.lit(1.0))), keys, "__w", F.lit(float(total))).drop("__w")
+    if mode == "target_conversations":
+        return s.withColumnRenamed("budget", "planned")
+    return s.withColumn("planned", samples_needed(F.col("budget"), F.col("avg_tokens"), F.col("std_tokens"), margin)).drop("budget")
+
+
+def planned_sample(df: DataFrame, plan: DataFrame, key: str, identity: Sequence[str], seed: int = 42) -> DataFrame:
+    """``df``'s rows of the planned keys: all, or ``planned`` of them by a seeded draw without replacement. ``plan`` has ``(key, planned)``."""
+    p = plan.select(F.col(key).alias("__key"), F.col("planned").alias("__planned"))
+    j = df.join(broadcast_if_small(p, 100_000), F.col(key) == F.col("__key")).drop("__key")
+    return seeded_sample(j, [key], identity, F.col("__planned"), seed).drop("__planned")
+
+
+def adaptive_quotas(counts: DataFrame, shard: str, n: str, total: int) -> DataFrame:
+    """``counts`` (a row a shard) with ``quota``: what each shard gives to ``total`` rows, in order.
+
+    A shard is asked for an even part of what is still wanted of the shards left; what a small one lacks falls to those after it. The fold is over one row a
+    shard, in one task.
+    """
+    rows = counts.select(shard, F.col(n).cast("bigint").alias("__n")).repartition(1).sortWithinPartitions(shard)
+    shards = counts.agg(F.count("*")).first()[0]
+    kind = counts.schema[shard].dataType.simpleString()
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, left = total, shards
+        for b in batches:
+            out = []
+            for c in b.column("__n").to_pylist():
+                out.append(min(c or 0, wanted // left))
+                wanted, left = wanted - out[-1], left - 1
+            yield pa.RecordBatch.from_arrays([b.column(shard), pa.array(out, pa.int64())], names=["__shard", "quota"])
+
+    q = rows.mapInArrow(fold, f"__shard {kind}, quota bigint")
+    return counts.join(q, F.col(shard) == F.col("__shard")).drop("__shard")
+
+
 def token_estimates(df: DataFrame, keys: Sequence[str], tokens: str) -> DataFrame:
     """Mean, population deviation, median, 90th percentile (interpolated) and number of samples."""
     return df.groupBy(*keys).agg(

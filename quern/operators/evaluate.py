@@ -117,6 +117,11 @@ def nearest_model(layers: Column, width: Column) -> Column:
     return F.array_min(options)["name"]
 
 
+def likelier(yes: Column, no: Column) -> Column:
+    """Whether the first of two log-probabilities is the larger; a tie is the second, null if either is."""
+    return yes > no
+
+
 def sequence_log_likelihood(log_probs: Column, mask: Column) -> tuple[Column, Column]:
     """Sum of the log-probabilities of the predicted (masked-in) tokens and their number: both shifted by one place."""
     n = F.greatest(F.size(log_probs) - 1, F.lit(0))
@@ -131,6 +136,17 @@ def entropy(counts: DataFrame, keys: list[str], n: str) -> DataFrame:
     return counts.select(*keys, p.alias("p")).groupBy(*keys).agg((-F.sum(F.col("p") * F.log2("p"))).alias("entropy"))
 
 
+def consistency(docs: Column, sentences: Column, chars: Column, estimated: Column, exact: Column) -> dict[str, Column]:
+    """What doesn't fit together: tokens that differ from the estimate by over half, under 1 or over 1,000 sentences a document, characters a token that differ by over 30 %."""
+    zero = F.lit(0.0)
+    off = F.abs(exact - estimated) / F.nullif(estimated, zero)
+    exact_ratio = chars / F.nullif(exact, zero)
+    ratio = F.abs(chars / F.nullif(estimated, zero) - exact_ratio) / F.nullif(exact_ratio, zero)
+    per = sentences / docs
+    no = F.lit(False)
+    return {"discrepancy": F.coalesce(off > 0.5, no), "unusual": F.coalesce((sentences > 0) & ((per < 1) | (per > 1000)), no), "inconsistent": F.coalesce(ratio > 0.3, no)}
+
+
 def recommendations(grades: DataFrame, advice: DataFrame, keys: list[str], metric: str, grade: str, most: int = 8) -> DataFrame:
     """``(keys, advice)``: the advice for each key's weak metrics (acceptable or poor) in the order of their names, each piece once, ``most`` at the most.
 

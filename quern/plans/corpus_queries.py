@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import estimate, text
 from quern.functions.words import words
-from quern.operators import budget, dedup, filters, order
+from quern.operators import budget, dedup, evaluate, filters, order, tokenize
 from quern.plans import sql
 from quern.plans.registry import query
 from quern.session import checkpointed, table, with_once
@@ -116,7 +116,13 @@ def filter_sequence_length(spark, sf):
     return table(spark, sf, "sft_conversations").select("conv_id", "source_dataset", "token_count").distinct().where("token_count <= 256").groupBy("source_dataset").agg(F.count("*").alias("kept"))
 
 
-@query("filter_outliers")
+@query(
+    "filter_outliers",
+    f"""WITH RECURSIVE {_EST}, o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM e),
+    f AS (SELECT source, doc_id, tokens, i, true AS kept, [tokens] AS l FROM o WHERE i = 1
+      UNION ALL SELECT o.source, o.doc_id, o.tokens, o.i, {{ok}}, CASE WHEN {{ok}} THEN list_append(f.l, o.tokens) ELSE f.l END FROM f JOIN o ON o.source = f.source AND o.i = f.i + 1)
+    SELECT doc_id, source, tokens FROM f WHERE kept""".replace("{ok}", "(len(f.l) <= 10 OR o.tokens <= 10 * list_aggregate(f.l, 'median'))"),
+)
 def filter_outliers(spark, sf):
     return budget.without_outliers(_estimated(spark, sf), "source", "doc_id", "tokens")
 
@@ -213,6 +219,47 @@ def budget_sampling_plan(spark, sf):
     return w.join(s, "source").select("mix_name", "source", "budget", budget.samples_needed(F.col("budget"), F.col("avg_tokens"), F.col("std_tokens")).alias("planned"))
 
 
+_CONVERSATIONS = "s AS (SELECT conv_id, max(source_dataset) AS ds, max(token_count) AS n FROM sft_conversations WHERE token_count > 0 AND source_dataset IS NOT NULL GROUP BY conv_id)"
+_DATASETS = f"{_CONVERSATIONS}, g AS (SELECT ds, count(*) AS n, avg(n) AS avg_tokens, stddev_pop(n) AS std_tokens, (1 + ascii(ds) % 3)::DOUBLE AS weight FROM s GROUP BY ds)"
+_PLANNED = {
+    "target_tokens": "ceil(floor(200000.0::DOUBLE * weight / sum(weight) OVER ()) / (avg_tokens + std_tokens * 0.5::DOUBLE) * (1.0::DOUBLE + 0.02::DOUBLE))::BIGINT",
+    "target_conversations": "floor(1000.0::DOUBLE * weight / sum(weight) OVER ())::BIGINT",
+    "max_samples": "CASE WHEN n > 8 THEN 8 ELSE floor(n * weight / 4) END::BIGINT",
+}
+
+
+def _datasets(spark, sf):
+    s = table(spark, sf, "sft_conversations").where("token_count > 0 and source_dataset is not null").groupBy("conv_id").agg(F.max("source_dataset").alias("ds"), F.max("token_count").alias("n"))
+    g = s.groupBy("ds").agg(F.count("*").alias("n"), F.avg("n").alias("avg_tokens"), F.stddev_pop("n").alias("std_tokens"))
+    return s, g.withColumn("weight", (1 + F.ascii("ds") % 3).cast("double"))
+
+
+def _sampling(spark, sf, mode):
+    s, g = _datasets(spark, sf)
+    if mode == "max_samples":
+        g = g.withColumn("weight", F.col("weight") / 4).withColumn("max_samples", F.lit(8))
+    return s, budget.sampling_plan(g, [], mode, {"target_tokens": 200_000, "target_conversations": 1000}.get(mode))
+
+
+for _mode in budget.SAMPLING_MODES:
+    query(f"sampling_plan_{_mode}", f"WITH {_DATASETS} SELECT ds, {_PLANNED[_mode]} AS planned FROM g")(lambda spark, sf, _mode=_mode: _sampling(spark, sf, _mode)[1].select("ds", "planned"))
+    query(f"sampling_applied_{_mode}", f"WITH {_DATASETS}, p AS (SELECT ds, {_PLANNED[_mode]} AS planned FROM g) SELECT conv_id, ds FROM s JOIN p USING (ds) QUALIFY row_number() OVER (PARTITION BY ds ORDER BY ('0x' || substr(sha256('42|' || conv_id), 1, 13))::BIGINT) <= planned")(
+        lambda spark, sf, _mode=_mode: budget.planned_sample(*_sampling(spark, sf, _mode), "ds", ["conv_id"]).select("conv_id", "ds")
+    )
+
+
+_COUNTS = f"c AS (SELECT {_SOURCE} AS source, count(*) AS n, row_number() OVER (ORDER BY {_SOURCE}) AS i, count(*) OVER () AS shards FROM documents WHERE source IS NOT NULL GROUP BY 1)"
+
+
+@query("sample_adaptive_quotas", f"""WITH RECURSIVE {_COUNTS}, q AS (SELECT source, n, i, shards, least(n, 300 // shards) AS quota, 300 - least(n, 300 // shards) AS wanted FROM c WHERE i = 1
+      UNION ALL SELECT c.source, c.n, c.i, c.shards, least(c.n, q.wanted // (c.shards - c.i + 1)), q.wanted - least(c.n, q.wanted // (c.shards - c.i + 1)) FROM q JOIN c ON c.i = q.i + 1)
+    SELECT source, n, quota FROM q""")
+def sample_adaptive_quotas(spark, sf):
+    """300 documents from all sources, each as a shard that gives an even part of what is still wanted."""
+    c = documents(spark, sf).where("source is not null").groupBy("source").agg(F.count("*").alias("n"))
+    return budget.adaptive_quotas(c, "source", "n", 300)
+
+
 _UNIT = "('0x' || substr(sha256('42|' || {0}), 1, 13))::BIGINT"
 
 
@@ -454,14 +501,42 @@ def stats_cross_validation(spark, sf):
     return g.withColumn("agreement", F.when(off < 5, "excellent").when(off < 10, "good").otherwise("poor"))
 
 
-@query("stats_consistency", f"""WITH {_EST}, g AS (SELECT e.source, count(*) AS docs, sum(e.tokens)::DOUBLE AS estimated, sum(d.exact_tokens)::DOUBLE AS exact FROM e JOIN documents d USING (doc_id) GROUP BY 1)
-    SELECT source, coalesce(abs(estimated - exact) / nullif(exact, 0) > 0.5, false) AS discrepancy, coalesce(exact / docs < 1 OR exact / docs > 1000, false) AS unusual FROM g""")
+@query("stats_consistency", rf"""WITH d AS (SELECT {_SOURCE} AS source, exact_tokens, {_CHARS} AS tokens, len(text) AS chars, string_split_regex(regexp_replace(text, '([.!?]){sql.BL}+([A-Z"''(\[])', '\1' || chr(1) || '\2', 'g'), '[\x01\n]') AS p FROM documents WHERE source IS NOT NULL AND text IS NOT NULL),
+    s AS (SELECT *, len(list_filter(list_transform(p, lambda x: {sql.strip('x')}), lambda x: len(x) BETWEEN 5 AND 2048)) AS n FROM d),
+    g AS (SELECT source, count(*) AS docs, sum(tokens)::DOUBLE AS estimated, sum(exact_tokens)::DOUBLE AS exact, sum(n)::DOUBLE AS sentences, sum(chars)::DOUBLE AS chars FROM s GROUP BY 1)
+    SELECT source, coalesce(abs(exact - estimated) / nullif(estimated, 0) > 0.5, false) AS discrepancy, sentences > 0 AND (sentences / docs < 1 OR sentences / docs > 1000) AS unusual,
+      coalesce(abs(chars / nullif(estimated, 0) - chars / nullif(exact, 0)) / nullif(chars / nullif(exact, 0), 0) > 0.3, false) AS inconsistent FROM g""")
 def stats_consistency(spark, sf):
-    d = documents(spark, sf, "exact_tokens", estimate.char_estimate(F.col("text")).alias("tokens")).where("source is not null")
-    g = d.groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").cast("double").alias("estimated"), F.sum("exact_tokens").cast("double").alias("exact"))
-    off = F.abs(F.col("estimated") - F.col("exact")) / F.nullif(F.col("exact"), F.lit(0.0))
-    per = F.col("exact") / F.col("docs")
-    return g.select("source", F.coalesce(off > 0.5, F.lit(False)).alias("discrepancy"), F.coalesce((per < 1) | (per > 1000), F.lit(False)).alias("unusual"))
+    """Sources whose recorded tokens differ from the estimate by half, with unusually many or few sentences a document, or whose characters a token differ by 30 %."""
+    d = documents(spark, sf, "text", "exact_tokens", estimate.char_estimate(F.col("text")).alias("tokens"), F.size(text.sentences(F.col("text"))).alias("n"), heavy=True).where("source is not null and text is not null")
+    g = d.groupBy("source").agg(F.count("*").alias("docs"), *[F.sum(c).cast("double").alias(n) for c, n in (("tokens", "estimated"), ("exact_tokens", "exact"), ("n", "sentences"), (F.length("text"), "chars"))])
+    return g.select("source", *[c.alias(n) for n, c in evaluate.consistency(*[F.col(x) for x in ("docs", "sentences", "chars", "estimated", "exact")]).items()])
+
+
+@query("stats_anomalous_shards", rf"""WITH d AS (SELECT doc_id % 50 AS shard, string_split_regex(regexp_replace(text, '([.!?]){sql.BL}+([A-Z"''(\[])', '\1' || chr(1) || '\2', 'g'), '[\x01\n]') AS p FROM documents WHERE text IS NOT NULL),
+    s AS (SELECT shard, len(list_filter(list_transform(p, lambda x: {sql.strip('x')}), lambda x: len(x) BETWEEN 5 AND 2048)) AS n FROM d)
+    SELECT shard, count(*) AS docs, sum(n)::BIGINT AS sentences FROM s GROUP BY 1 HAVING sum(n)::DOUBLE / count(*) > 12""")
+def stats_anomalous_shards(spark, sf):
+    """Shards with more sentences a document than is usual (here 12)."""
+    d = table(spark, sf, "documents", heavy=True).where("text is not null").select((F.col("doc_id") % 50).alias("shard"), F.size(text.sentences(F.col("text"))).alias("n"))
+    g = d.groupBy("shard").agg(F.count("*").alias("docs"), F.sum("n").alias("sentences"))
+    return g.where(F.col("sentences") / F.col("docs") > 12)
+
+
+@query("stats_vocabulary_composition", f"""WITH v AS (SELECT DISTINCT unnest({sql.pieces('text')}) AS w FROM documents WHERE text IS NOT NULL), t AS (SELECT '▁' || w AS t, false AS s FROM v UNION ALL SELECT * FROM (VALUES ('<s>', true), ('ing', false)))
+    SELECT count(*) AS entries, count(CASE WHEN s THEN 1 END) AS special, count(CASE WHEN NOT s AND t[1] = '▁' THEN 1 END) AS word_starts, count(CASE WHEN NOT s AND t[1] <> '▁' THEN 1 END) AS regular,
+      avg(len(t)) AS mean_length, median(len(t)) AS median_length, min(len(t))::INT AS min_length, max(len(t))::INT AS max_length, stddev_samp(len(t)) AS length_deviation FROM t""")
+def stats_vocabulary_composition(spark, sf):
+    """The composition of a vocabulary made of the corpus's pieces between white space."""
+    v = table(spark, sf, "documents").where("text is not null").select(F.explode(F.filter(F.split("text", text.BLANKS), lambda w: w != "")).alias("w")).distinct().select(F.concat(F.lit("▁"), "w").alias("t"), F.lit(False).alias("s"))
+    return tokenize.vocabulary_composition(v.unionAll(spark.createDataFrame([("<s>", True), ("ing", False)], "t string, s boolean")), "t", F.col("s"))
+
+
+@query("stats_characters", "WITH c AS (SELECT unnest(regexp_extract_all(text, '(?s).')) AS c FROM documents WHERE text IS NOT NULL) SELECT count(DISTINCT c) AS unique_characters, count(*) AS characters FROM c")
+def stats_characters(spark, sf):
+    """Characters are counted one row a character and text first, so that what is exchanged are the different ones."""
+    c = documents(spark, sf, F.explode(F.regexp_extract_all("text", F.lit("(?s)(.)"), F.lit(1))).alias("c"), heavy=True).groupBy("c").agg(F.count("*").alias("n"))
+    return c.agg(F.count("*").alias("unique_characters"), F.sum("n").alias("characters"))
 
 
 @query("stats_planning_report", f"""WITH {_EST}, s AS (SELECT source, avg(tokens) AS mean, sum(tokens)::BIGINT AS tokens FROM e GROUP BY source)

@@ -146,6 +146,14 @@ def eval_accuracy(spark, sf):
     return e.groupBy("dataset", "lang").agg(F.avg(right.cast("int")).alias("accuracy"), F.count("*").alias("n"))
 
 
+@query("eval_accuracy_argmax", f"SELECT source_dataset, avg(((chosen_reward > rejected_reward) = (len(chosen) >= len(rejected)))::INT) AS accuracy, count(*) AS n FROM preference_pairs WHERE chosen_reward IS NOT NULL AND rejected_reward IS NOT NULL AND NOT isnan(chosen_reward) AND NOT isnan(rejected_reward) AND chosen IS NOT NULL AND rejected IS NOT NULL GROUP BY 1")
+def eval_accuracy_argmax(spark, sf):
+    """Accuracy of the likelier of two answers; the rewards stand for their log-probabilities, the longer side for the right one."""
+    p = table(spark, sf, "preference_pairs").where("chosen_reward is not null and rejected_reward is not null and not isnan(chosen_reward) and not isnan(rejected_reward) and chosen is not null and rejected is not null")
+    right = evaluate.likelier(F.col("chosen_reward"), F.col("rejected_reward")) == (F.length("chosen") >= F.length("rejected"))
+    return p.groupBy("source_dataset").agg(F.avg(right.cast("int")).alias("accuracy"), F.count("*").alias("n"))
+
+
 _THRESHOLDS = "t AS (SELECT * FROM (VALUES ('perplexity', '<2', '<50', '<1000000'), ('margin', '>0.3', '>0.1', '>0')) v(metric, good, acceptable, poor))"
 _METRICS = f"""{_LOSS}, p AS (SELECT ds, CASE WHEN sum(n) > 0 THEN exp(sum(least(loss, 20.0::DOUBLE) * n) / sum(n)) ELSE 'inf'::DOUBLE END AS v FROM l WHERE loss IS NOT NULL AND NOT isnan(loss) GROUP BY ds),
     m AS (SELECT source_dataset AS ds, avg(c - r) AS v FROM ({_GOOD}) GROUP BY 1), a AS (SELECT ds, 'perplexity' AS metric, v FROM p UNION ALL SELECT ds, 'margin', v FROM m), {_THRESHOLDS},

@@ -155,6 +155,14 @@ def tokenizer_consistency(spark, sf):
     return g.withColumn("consistent", F.col("runs") == F.sum("runs").over(Window.partitionBy()))
 
 
+@query("tokenizer_hash_consistency", "WITH h AS (SELECT run_id, sha256(bos_id || '|' || eos_id || '|' || pad_id) AS hash FROM pack_runs) SELECT run_id, hash, hash = (SELECT arg_min(hash, run_id) FROM h) AS same FROM h")
+def tokenizer_hash_consistency(spark, sf):
+    """Runs whose tokenizer settings hash to another value than the first run's can't be mixed with it."""
+    h = table(spark, sf, "pack_runs").select("run_id", F.sha2(F.concat_ws("|", "bos_id", "eos_id", "pad_id"), 256).alias("hash"))
+    first = h.agg(F.min_by("hash", "run_id").alias("first"))
+    return h.crossJoin(F.broadcast(first)).select("run_id", "hash", (F.col("hash") == F.col("first")).alias("same"))  # one row
+
+
 @query("manifest_join", "SELECT r.run_id, r.run_name, count(DISTINCT p.example_id) AS found, max(p.seq_no) + 1 AS expected, count(DISTINCT p.example_id) = max(p.seq_no) + 1 AS complete FROM pack_runs r LEFT JOIN packed_examples p USING (run_id) GROUP BY 1, 2")
 def manifest_join(spark, sf):
     p = table(spark, sf, "packed_examples").groupBy("run_id").agg(F.count_distinct("example_id").alias("found"), (F.max("seq_no") + 1).alias("expected"))

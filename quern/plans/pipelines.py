@@ -91,26 +91,42 @@ class Finetuning:
     train_share: float = 0.9
     rows_per_shard: int = 10_000
     seed: int = 42
+    #: How many conversations of each dataset are taken (``budget.SAMPLING_MODES``), None for all; and the total that two of the modes need.
+    sampling: str | None = None
+    sampling_total: float | None = None
 
     def check(self) -> None:
+        if self.sampling is not None and self.sampling not in budget.SAMPLING_MODES:
+            raise ValueError(f"no sampling mode {self.sampling!r}")
+        if self.sampling in ("target_tokens", "target_conversations") and self.sampling_total is None:
+            raise ValueError(f"{self.sampling} needs a total")
         if self.template not in templates.SPECIAL_TOKENS:
             raise ValueError(f"no template {self.template!r}")
         if not 0 < self.train_share <= 1:
             raise ValueError("the training share must be in (0, 1]")
 
 
-def finetuning_corpus(pairs: DataFrame, identity: str, c: Finetuning) -> DataFrame:
-    """``(identity, text, prompt, response, split)`` of pairs with ``prompt`` and ``response``: filtered, formatted, deduplicated, shuffled and split."""
+def finetuning_corpus(pairs: DataFrame, identity: str, c: Finetuning, datasets: DataFrame | None = None) -> DataFrame:
+    """``(identity, text, prompt, response, split)`` of pairs with ``prompt`` and ``response``: filtered, formatted, deduplicated, sampled, shuffled and split.
+
+    Sampling needs a column ``dataset`` of ``pairs`` and ``datasets`` with ``(dataset, weight)``, and ``max_samples`` for that mode.
+    """
     c.check()
-    p = pairs.select(identity, text.strip(F.col("prompt")).alias("prompt"), text.strip(F.col("response")).alias("response")).dropDuplicates([identity])
+    named = ["dataset"] if c.sampling else []
+    p = pairs.select(identity, *named, text.strip(F.col("prompt")).alias("prompt"), text.strip(F.col("response")).alias("response")).dropDuplicates([identity])
     p = p.where(templates.is_valid_pair(F.col("prompt"), F.col("response")) & filters.pair_quality(F.col("prompt"), F.col("response"), **c.limits).isNull())
     f = p.withColumn("text", templates.format_conversation(c.template, F.col("prompt"), F.col("response")))
     kept = dedup.near_first_words(f, "text", identity) if c.near else f
+    if c.sampling:
+        kept = checkpointed(kept)
+        n = estimate.smart_estimate(F.col("text"))
+        sizes = kept.groupBy("dataset").agg(F.count("*").alias("n"), F.avg(n).alias("avg_tokens"), F.stddev_pop(n).alias("std_tokens"))
+        kept = budget.planned_sample(kept, budget.sampling_plan(sizes.join(datasets, "dataset"), [], c.sampling, c.sampling_total), "dataset", [identity], c.seed).drop("dataset")
     return order.ratio_split(kept.withColumn("__u", order.shuffle_number(c.seed, identity)), [], "__u", F.lit(c.train_share)).drop("__u")
 
 
-def prepare_finetuning(pairs: DataFrame, identity: str, c: Finetuning, directory: str) -> dict:
-    return writers.write_split_shards(checkpointed(finetuning_corpus(pairs, identity, c)), directory, "split", identity, c.rows_per_shard)
+def prepare_finetuning(pairs: DataFrame, identity: str, c: Finetuning, directory: str, datasets: DataFrame | None = None) -> dict:
+    return writers.write_split_shards(checkpointed(finetuning_corpus(pairs, identity, c, datasets)), directory, "split", identity, c.rows_per_shard, config=asdict(c))
 
 
 def prepare_preferences(triplets: DataFrame, identity: str, directory: str, rows_per_shard: int = 10_000) -> dict:
@@ -118,4 +134,8 @@ def prepare_preferences(triplets: DataFrame, identity: str, directory: str, rows
     t = triplets.select(identity, *[text.strip(F.col(c)).alias(c) for c in ("prompt", "chosen", "rejected")]).dropDuplicates([identity])
     t = checkpointed(t.withColumn("fault", filters.preference_fault(F.col("prompt"), F.col("chosen"), F.col("rejected"))))
     funnel = {r["reason"]: r["n"] for r in filters.reason_counts(t, "fault").collect()}  # one row a reason
-    return writers.write_shards(t.where("fault is null").drop("fault"), directory, identity, rows_per_shard, extra={"funnel": funnel}, force=True)
+    good = t.where("fault is null").drop("fault")
+    fields = ("prompt", "chosen", "rejected")
+    sums = good.agg(*[g(estimate.char_estimate(F.col(c))).alias(f"{c}_{n}") for c in fields for n, g in (("mean", F.avg), ("median", F.median))]).first()
+    lengths = {c: {n: sums[f"{c}_{n}"] or 0.0 for n in ("mean", "median")} for c in fields}
+    return writers.write_shards(good, directory, identity, rows_per_shard, extra={"funnel": funnel, "lengths": lengths}, force=True)

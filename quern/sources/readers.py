@@ -77,6 +77,12 @@ def _parquet(spark: SparkSession, path: str, columns: list[str] | None = None, *
     return d.select(*columns) if columns else d
 
 
+@source("folders")
+def _folders(spark: SparkSession, path: str, subset: str = "default", split: str = "train", columns: list[str] | None = None, **_: Any) -> DataFrame:
+    """A dataset kept as Parquet in folders ``subset/split``."""
+    return _parquet(spark, f"{path}/{subset}/{split}", columns)
+
+
 source("jsonl")(lambda spark, path, schema, tolerant=False, **_: jsonl(spark, path, schema, tolerant))
 source("json")(lambda spark, path, schema, **_: json_array(spark, path, schema))
 
@@ -99,13 +105,12 @@ def manifest(spark: SparkSession, directory: str, name: str = "manifest.json") -
 
 
 def shards(spark: SparkSession, directory: str, schema: str = "text string") -> DataFrame:
-    """The shards that the manifest of ``directory`` names, where they are or in ``shards/``."""
+    """The shards that the manifest of ``directory`` names, all in ``directory`` or all in its ``shards/``: the first one tells. A missing shard raises when it is read."""
     paths = [s["path"] for s in manifest(spark, directory)["shards"]]
     if not paths:
         return spark.createDataFrame([], schema)
-    fs = spark._jvm.org.apache.hadoop.fs
-    at = lambda p: fs.Path(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs.Path(p))
-    return jsonl(spark, [p if at(p := f"{directory}/{x}") else f"{directory}/shards/{x}" for x in paths], schema)
+    base = directory if listing(spark, f"{directory}/{paths[0]}") else f"{directory}/shards"
+    return jsonl(spark, [f"{base}/{p}" for p in paths], schema)
 
 
 #: Columns of the formats of fine-tuning shards.

@@ -74,8 +74,12 @@ def _record(spark: SparkSession, directory: str, tokens: str | None, config: Any
     return m
 
 
-def write_split_shards(df: DataFrame, directory: str, split: str, order: str, rows_per_shard: int, format_version: str = "2.0") -> dict:
-    """One folder of shards for each value of ``split``, and a manifest that names them. Shard numbers start anew in each split."""
+def write_split_shards(df: DataFrame, directory: str, split: str, order: str, rows_per_shard: int, format_version: str = "2.0", config: Any = None, packing: dict | None = None, tokenizer: dict | None = None) -> dict:
+    """One folder of shards for each value of ``split``, and a manifest that names them. Shard numbers start anew in each split.
+
+    The manifest holds the configuration and its totals: conversations, or for packed rows (``packing`` has their statistics, ``tokenizer`` what made them)
+    sequences and tokens.
+    """
     spark = df.sparkSession
     numbered = shard_numbers(df, [split], order, rows_per_shard, "shard")
     numbered.repartition(split, "shard").sortWithinPartitions(split, "shard", order).write.mode("overwrite").partitionBy(split, "shard").json(f"{directory}/shards")
@@ -83,7 +87,12 @@ def write_split_shards(df: DataFrame, directory: str, split: str, order: str, ro
     for r in spark.read.format("binaryFile").load(f"{directory}/shards/*/*/*.json").select("path").orderBy("path").collect():
         name = r["path"].rpartition("/shards/")[2]
         splits[name.partition("=")[2].partition("/")[0]]["shards"].append(f"shards/{name}")
-    m = {"format_version": format_version, "splits": splits}
+    total = sum(x["rows"] for x in splits.values())
+    m = {"format_version": format_version, "config": config, "config_hash": config_hash(config), "splits": splits}
+    if packing is None:
+        m["total_conversations"] = total
+    else:
+        m |= {"total_sequences": total, "total_tokens": packing.get("real_tokens"), "packing_metadata": packing, "tokenizer_metadata": tokenizer}
     write_json(spark, m, f"{directory}/manifest.json")
     return m
 
@@ -180,6 +189,37 @@ def metrics_csv(df: DataFrame, path: str) -> None:
     df.select("metric", "value").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def packed_manifest(spark: SparkSession, path: str, length: int, statistics: dict, corpus_hash: str, tokenizer_hash: str) -> dict:
+    """The manifest of packed tokens, written to ``path``: by its hashes a reader knows from what corpus and tokenizer they come."""
+    m = {"data_format": "packed_sequences", "dtype": "uint16", "sequence_length": length, "corpus_manifest_hash": corpus_hash, "tokenizer_config_hash": tokenizer_hash, "statistics": statistics}
+    write_json(spark, m, path)
+    return m
+
+
+def incompatible(manifests: dict[str, dict], key: str = "tokenizer_config_hash") -> list[str]:
+    """The names of manifests whose hash under ``key`` is missing or another than that of the first which has one."""
+    known = next((m[key] for m in manifests.values() if m.get(key)), None)
+    return [name for name, m in manifests.items() if m.get(key) is None or m[key] != known]
+
+
+def finetuning_card(m: dict) -> str:
+    """The data card of a fine-tuning corpus from its manifest: totals, splits, and packing if it is packed."""
+    totals = {k: m[k] for k in ("format_version", "total_conversations", "total_sequences", "total_tokens", "config_hash") if m.get(k) is not None}
+    sections: dict[str, dict[str, Any] | list[str]] = {"Totals": totals, "Splits": {k: f"{v['rows']} rows in {len(v['shards'])} shards" for k, v in m["splits"].items()}}
+    if m.get("packing_metadata"):
+        sections["Packing"] = m["packing_metadata"]
+    if isinstance(m.get("config"), dict):
+        sections["Configuration"] = m["config"]
+    return markdown_card("Fine-tuning corpus", sections)
+
+
+def preference_card(m: dict) -> str:
+    """The data card of a preference corpus from its manifest: totals, what was left out and why, and the lengths of its fields."""
+    totals = {"documents": m["total_documents"], "shards": len(m["shards"]), "config_hash": m["config_hash"]}
+    lengths = {f: f"mean {x['mean']:.1f}, median {x['median']:.1f} tokens" for f, x in m.get("lengths", {}).items()}
+    return markdown_card("Preference corpus", {"Totals": totals, "Funnel": m.get("funnel", {}), "Lengths": lengths})
+
+
 def markdown_card(title: str, sections: dict[str, dict[str, Any] | list[str]]) -> str:
     """A data card: a heading for each section, with a table of values or a list."""
     out: list[str] = [f"# {title}", ""]

@@ -135,6 +135,37 @@ def test_tokenizers(spark, name):
     assert got[1][1] == "Plain text, twice." and got[2][0] == [] and got[3][0] == []
 
 
+def test_vocabulary_facts(spark):
+    import os
+
+    path = tokenizer_path()
+    if not os.path.exists(path):
+        pytest.skip("no vocabulary files")
+    f = tokenize.facts(path)
+    assert f.size > 1000 and f.unknown == f.special["unk"] and tokenize.verify(path, f.sha256, f.size, f.special) == []
+    assert len(tokenize.verify(path, "other", 7, {"unk": -5})) == 3
+    v = tokenize.vocabulary_table(spark, path)
+    assert v.count() == f.size and v.where("is_special").count() >= 1
+    d = spark.createDataFrame([(1, "Plain text, twice."), (2, None)], "i int, t string")
+    ids = tokenize.encoded(d, "t", path).select("i", F.explode("ids").alias("id"))
+    assert "".join(r.piece for r in tokenize.with_pieces(ids, v).collect()).replace("▁", " ").strip() == "Plain text, twice."
+    by = {k: {r.i: r.tokens for r in tokenize.counted(d, "t", **k_).collect()} for k, k_ in (("file", {"path": path}), ("smart", {}), ("chars", {"smart": False}))}
+    assert by["file"][1] == ids.count() and by["chars"] == {1: 4, 2: 0} and by["smart"][2] == 0 < by["smart"][1]
+    assert tokenize.rates({"docs": 10, "tokens": 50}, 2.0) == {"docs_per_second": 5.0, "tokens_per_second": 25.0, "tokens_per_doc": 5.0}
+
+
+def test_manifests_and_cards(spark, tmp_path):
+    d = spark.createDataFrame([(i, "train", [1, 2]) for i in range(4)], "i bigint, split string, input_ids array<int>")
+    m = writers.write_split_shards(d, str(tmp_path / "packed"), "split", "i", 2, "3.0", {"length": 2}, {"real_tokens": 8, "efficiency": 100.0}, {"sha256": "h"})
+    assert (m["total_sequences"], m["total_tokens"]) == (4, 8) and "| efficiency | 100.0 |" in writers.finetuning_card(m)
+    p = writers.packed_manifest(spark, str(tmp_path / "final.json"), 2, {"rows": 4}, "c", "t")
+    assert readers.manifest(spark, str(tmp_path), "final.json") == p
+    assert writers.incompatible({"a": p, "b": {}, "c": p | {"tokenizer_config_hash": "u"}}) == ["b", "c"]
+    (tmp_path / "hub").mkdir()
+    d.write.parquet(str(tmp_path / "hub" / "small" / "val"))
+    assert readers.load(spark, "folders", str(tmp_path / "hub"), subset="small", split="val").count() == 4
+
+
 def test_pretraining_pipeline(spark, tmp_path):
     words = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdef"]
     for name, rows in (("one", [0, 1, 1, 2]), ("two", [2, 3, 4, 0])):
@@ -170,8 +201,15 @@ def test_finetuning_and_preference_pipelines(spark, tmp_path):
     (tmp_path / "old" / "manifest.json").write_text("{}")
     (tmp_path / "old" / "shard_000.jsonl").write_text('{"prompt": "q", "chosen": "c", "rejected": "r"}')
     assert [tuple(r) for r in readers.preference_shards(spark, str(tmp_path / "old")).collect()] == [("q", "c", "r")]
-    with pytest.raises(ValueError):
-        pipelines.Finetuning(template="none").check()
+    assert "| same | 1 |" in writers.preference_card(readers.manifest(spark, str(tmp_path / "dpo")))
+    named = d.withColumn("dataset", F.when(F.col("i") % 2 == 0, "even").otherwise("odd"))
+    weights = spark.createDataFrame([("even", 3.0, 4), ("odd", 1.0, None)], "dataset string, weight double, max_samples int")
+    for c, even, odd in ((pipelines.Finetuning(near=False, sampling="target_conversations", sampling_total=8), 6, 2), (pipelines.Finetuning(near=False, sampling="max_samples"), 4, 10)):
+        got = [r.i % 2 for r in pipelines.finetuning_corpus(named, "i", c, weights).collect()]
+        assert (got.count(0), got.count(1)) == (even, odd)
+    for c in (pipelines.Finetuning(template="none"), pipelines.Finetuning(sampling="some"), pipelines.Finetuning(sampling="target_tokens")):
+        with pytest.raises(ValueError):
+            c.check()
 
 
 def test_streaming(spark, tmp_path):

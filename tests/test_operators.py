@@ -185,6 +185,18 @@ def test_outliers_of_whole_sources(spark, tmp_path):
     assert {(r.i, r.t) for r in budget.without_outliers(d, "k", "i", "n").collect()} == {(i, "a") for i in range(12)} | {(13, "c")}
 
 
+def test_adaptive_quotas(spark):
+    d = spark.createDataFrame([(1, 2), (2, 50), (3, 0), (4, 50)], "s int, n int")
+    assert [r.quota for r in budget.adaptive_quotas(d, "s", "n", 30).orderBy("s").collect()] == [2, 9, 0, 19]
+    assert budget.adaptive_quotas(d.limit(0), "s", "n", 30).count() == 0
+
+
+def test_recommendations(spark):
+    grades = spark.createDataFrame([("a", "x", "poor"), ("a", "y", "acceptable"), ("a", "z", "excellent"), ("b", "w", "poor")], "k string, m string, g string")
+    advice = spark.createDataFrame([("x", ["one", "two"]), ("y", ["two", "three"]), ("z", ["four"])], "metric string, advice array<string>")
+    assert {r.k: r.advice for r in evaluate.recommendations(grades, advice, ["k"], "m", "g").collect()} == {"a": ["one", "two", "three"], "b": []}
+
+
 def test_capped_shards(spark):
     rows = [("a", 1, 5), ("a", 2, 50), ("a", 3, 1), ("a", 4, 1), ("b", 1, 1)]
     d = frame(spark, rows, "s string, o bigint, n int")
