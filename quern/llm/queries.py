@@ -211,6 +211,20 @@ def p6_shares(spark, sf):
     return mixing.shares(mixing.mix(docs, planned), planned)
 
 
+@query(
+    "p6_reached",
+    "WITH " + _TOKENS_SQL + " SELECT"
+    " mix_name, source, round(weight / sum(weight) OVER (PARTITION BY mix_name), 9) AS target_share, capacity_tokens < target_tokens AS short, true AS exact FROM plan",
+)
+def p6_reached(spark, sf):
+    """What doesn't depend on the draw: each source gives its target to within one document, or all it may if that is less."""
+    docs, planned = _mix_inputs(spark, sf)
+    longest = docs.agg(F.max("tokens").alias("longest"))
+    s = mixing.shares(mixing.mix(docs, planned), planned).crossJoin(F.broadcast(longest))  # one row
+    reached = F.when(F.col("short"), F.col("taken_tokens") == F.col("capacity_tokens")).otherwise((F.col("taken_tokens") >= F.col("target_tokens")) & (F.col("taken_tokens") <= F.col("target_tokens") + F.col("longest")))
+    return s.select("mix_name", "source", F.round("target_share", 9).alias("target_share"), "short", (reached & (F.col("most_copies") <= F.col("max_repeats"))).alias("exact"))
+
+
 @query("p6_mix")
 def p6_mix(spark, sf):
     docs, planned = _mix_inputs(spark, sf)
