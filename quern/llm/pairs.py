@@ -54,8 +54,22 @@ CLASSES = {
     "en_that": "that this so it these those",
     "en_have": "have got possess",
     "en_lack": "ability access permission authority clearance means right freedom answer comment information",
-    "en_leave": "leave skip pass stay keep remain",
-    "en_silent": "unanswered silent out quiet aside one",
+    "en_leave": "leave skip pass stay keep remain steer stand",
+    "en_silent": "unanswered silent out quiet aside one away clear alone mum",
+    "en_go": "get go dig dive wade",
+    "en_into": "into",
+    "en_lacks": "lack lacks without",
+    "en_what": "what",
+    "en_no": "no",
+    "en_comment": "comment comments",
+    "en_told": "told asked instructed advised trained designed built programmed meant",
+    "en_to": "to",
+    "en_off": "off out",
+    "en_limits": "limits table bounds reach",
+    "en_closed": "closed barred forbidden prohibited",
+    "en_can": "can could may might would",
+    "en_be": "be",
+    "en_done": "discussed answered provided shared given disclosed addressed explained helped revealed covered",
     "fr_self": "je j me m nous moi",
     "fr_ne": "ne n",
     "fr_pas": "pas point guère plus rien aucune aucun",
@@ -63,18 +77,21 @@ CLASSES = {
     "fr_refuse": "refuse refuser refusons décline décliner abstiens abstenir renonce renoncer",
     "fr_prefer": "préfère préférons préférerais aime aimerais voudrais",
     "fr_may": "autorisé autorisée mesure capable habilité habilitée droit permis permise possible possibilité",
-    "fr_ill": "impossible interdit interdite inapproprié déplacé",
+    "fr_ill": "impossible impossibilité interdit interdite inapproprié déplacé",
     "fr_own": "mes mon nos notre ma",
     "fr_rules": "règles règle consignes directives principes instructions politique règlement limites programmation",
     "fr_forbid": "pas interdisent interdit empêchent empêche",
     "fr_silent": "silence",
     "fr_keep": "garder garde garderai",
+    "fr_can": "saurais saurait pouvoir puis",
+    "fr_without": "sans",
+    "fr_comment": "commentaire commentaires réponse",
     "de_self": "ich mir mich wir uns",
     "de_not": "nicht nichts kein keine keinen keinerlei unmöglich",
     "de_act": "helfen beantworten antworten sagen geben liefern besprechen reden sprechen schreiben erklären unterstützen äußern bereitstellen weiterhelfen mitteilen behandeln erfüllen eingehen diskutieren verfassen auskunft antwort antworte helfe dienen beitragen nachkommen beraten machen",
-    "de_refuse": "ablehnen verweigern lehne verweigere ablehne enthalten enthalte zurückweisen absehen passen",
+    "de_refuse": "ablehnen verweigern lehne verweigere ablehne enthalten enthalte zurückweisen absehen passen schweige schweigen",
     "de_prefer": "lieber",
-    "de_may": "erlaubt gestattet befugt berechtigt möglich imstande lage angebracht darf",
+    "de_may": "erlaubt gestattet befugt berechtigt möglich imstande lage angebracht darf zuständig zu",
     "de_own": "meine meinen meiner mein unsere unseren",
     "de_rules": "richtlinien regeln vorgaben grundsätze anweisungen leitlinien bestimmungen programmierung",
     "de_forbid": "nicht verbieten untersagen verhindern kein keine",
@@ -92,14 +109,21 @@ CLASSES = {
     "es_forbid": "no impiden impide prohíben prohíbe",
     "es_against": "contra fuera",
     "es_nothing": "nada",
+    "es_fit": "corresponde compete toca incumbe",
+    "es_able": "poder",
+    "es_without": "sin",
+    "es_comment": "comentarios comentario",
+    "de_none": "kein keinen",
+    "de_comment": "kommentar",
 }
 #: Sequences of classes that decline; a number is the most words between two of them.
 PATTERNS = [
     "en_self 4 en_not 5 en_act", "en_self 4 en_refuse", "en_self 3 en_prefer 1 en_neg", "en_self 3 en_not 1 en_do 0 en_that", "en_not 3 en_may 6 en_act", "en_not 1 en_may 2 en_self", "en_not 3 en_self 2 en_may", "en_ill 2 en_self",
-    "en_own 1 en_rules 6 en_not", "en_own 1 en_rules 6 en_forbid", "en_over 3 en_rules", "en_self 4 en_not 1 en_have 3 en_lack", "en_self 2 en_have 0 en_not 3 en_act", "en_self 2 en_have 0 en_not 3 en_lack", "en_self 4 en_leave 3 en_silent",
-    "fr_self 3 fr_ne 4 fr_pas 6 fr_act", "fr_self 2 fr_ne 3 fr_pas 3 fr_may", "fr_self 3 fr_refuse", "fr_self 2 fr_prefer 3 fr_pas", "fr_self 3 fr_ill", "fr_ill 3 fr_self", "fr_own 1 fr_rules 5 fr_forbid", "fr_self 3 fr_keep 2 fr_silent", "fr_ne 3 fr_pas 2 fr_may 3 fr_self", "fr_ne 2 fr_self 2 fr_pas 2 fr_may",
-    "de_self 8 de_not 4 de_act", "de_not 6 de_self 6 de_act", "de_self 8 de_refuse", "de_refuse 2 de_self", "de_self 4 de_prefer 3 de_not", "de_self 6 de_not 4 de_may", "de_not 4 de_may 6 de_act", "de_own 0 de_rules 7 de_forbid", "de_against 1 de_own 0 de_rules", "de_self 6 de_act 2 de_not",
-    "es_no 2 es_can 4 es_act", "es_no 1 es_me 2 es_may", "es_no 2 es_can 2 es_may", "es_refuse", "es_prefer 0 es_no", "es_me 2 es_ill", "es_own 0 es_rules 5 es_forbid", "es_against 2 es_own 0 es_rules", "es_nothing 4 es_act",
+    "en_own 1 en_rules 6 en_not", "en_own 1 en_rules 6 en_forbid", "en_over 3 en_rules", "en_self 4 en_not 1 en_have 3 en_lack", "en_self 2 en_have 0 en_not 3 en_act", "en_self 2 en_have 0 en_not 3 en_lack", "en_self 4 en_leave 3 en_silent", "en_self 4 en_not 2 en_go 1 en_into",
+    "en_self 2 en_lacks 2 en_lack", "en_over 0 en_what 1 en_self", "en_no 0 en_comment", "en_told 0 en_neg 0 en_to", "en_off 1 en_limits", "en_closed 1 en_self", "en_not 3 en_self 1 en_can 3 en_act", "en_self 4 en_not 1 en_have 3 en_act", "en_not 1 en_be 1 en_done",
+    "fr_self 3 fr_ne 4 fr_pas 6 fr_act", "fr_self 2 fr_ne 3 fr_pas 3 fr_may", "fr_self 3 fr_refuse", "fr_self 2 fr_prefer 3 fr_pas", "fr_self 3 fr_ill", "fr_ill 3 fr_self", "fr_own 1 fr_rules 5 fr_forbid", "fr_self 3 fr_keep 2 fr_silent", "fr_ne 3 fr_pas 2 fr_may 3 fr_self", "fr_ne 2 fr_self 2 fr_pas 2 fr_may", "fr_ne 2 fr_can 3 fr_act", "fr_without 0 fr_comment",
+    "de_self 8 de_not 4 de_act", "de_not 6 de_self 6 de_act", "de_self 8 de_refuse", "de_refuse 2 de_self", "de_self 4 de_prefer 3 de_not", "de_self 6 de_not 4 de_may", "de_not 4 de_may 6 de_act", "de_own 0 de_rules 7 de_forbid", "de_against 1 de_own 0 de_rules", "de_self 6 de_act 2 de_not", "de_none 0 de_comment",
+    "es_no 2 es_can 4 es_act", "es_no 1 es_me 2 es_may", "es_no 2 es_can 2 es_may", "es_refuse", "es_prefer 0 es_no", "es_me 2 es_ill", "es_own 0 es_rules 5 es_forbid", "es_against 2 es_own 0 es_rules", "es_nothing 4 es_act", "es_no 0 es_me 0 es_fit", "es_no 0 es_able 3 es_act", "es_without 0 es_comment",
 ]
 #: Words of sentences that only lead in or out. Such a sentence is short.
 POLITE = frozenset(
@@ -233,8 +257,10 @@ def is_empty(response: str | None) -> bool:
     if len(t) <= 6 and not any(c.isalnum() for c in t):
         return True
     found = words(t)
-    if len(found) == 1 or t.lower().strip("()[]<>{}\"'*_.!#") == "n/a":
-        return found[0] in STAND_INS or len(found) == 2
+    if found == ["n", "a"]:
+        return True
+    if len(found) == 1:
+        return found[0] in STAND_INS
     # nothing but words that say that there is no answer, which a last "no" is
     return 0 < len(found) <= 6 and found[-1] not in ("no", "not") and not _NOTHING.isdisjoint(found) and not _WHAT.isdisjoint(found) and all(w in _NOTHING or w in _WHAT or w in _BESIDE for w in found)
 

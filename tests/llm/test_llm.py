@@ -298,6 +298,12 @@ HELD_OUT = [
     "Talking about that is not possible for me.", "I'd prefer not to say.", "I am unable to fulfil this request. Please contact a professional.", "Je regrette, mes consignes m'interdisent d'en parler.", "Je m'abstiens de commenter ce point.", "Je n'ai pas le droit d'évoquer ce sujet.",
     "Désolé, je ne souhaite pas répondre.", "Il ne m'est pas permis d'en discuter.", "Ich möchte mich dazu nicht äußern.", "Das lehne ich ab.", "Meine Vorgaben verbieten mir eine Antwort.", "Dazu gebe ich keine Auskunft.", "Es ist mir leider nicht gestattet, darüber zu sprechen.", "Me abstengo de opinar.",
     "Mis directrices no permiten tratar ese asunto.", "No voy a contestar a eso.", "No estoy en condiciones de ayudarte.", "Rechazo responder sobre el puente.",
+    # a second list, of which 21 of 26 were found at once
+    "I really shouldn't get into the old bridge.", "Sorry, the old bridge isn't something I'm allowed to discuss.", "I choose not to respond to questions on the old bridge.", "My instructions forbid any comment on the old bridge.", "I lack permission to write about the old bridge.",
+    "Answering this would go against my rules.", "I'm not the right one to answer questions on the old bridge, so I will pass.", "We decline to comment on the old bridge.", "Talking about the old bridge is beyond what I may do.", "It is not possible for me to give information about the old bridge.",
+    "I don't feel able to answer that.", "No comment from me on the old bridge, sorry.", "I will have to leave this question unanswered.", "Je refuse de parler du pont.", "Il m'est interdit de répondre sur le pont.", "Je ne suis pas habilité à commenter le pont.", "Mes principes m'empêchent de parler du pont.",
+    "Zu der Brücke darf ich mich nicht äußern.", "Ich kann keine Auskunft über die Brücke geben.", "Diese Frage möchte ich nicht beantworten.", "Meine Regeln verbieten es, über die Brücke zu sprechen.", "No me corresponde hablar del puente.", "No puedo compartir nada acerca del puente.", "Mis reglas me impiden hablar del puente.",
+    "Me niego a comentar el puente.", "No tengo permiso para responder sobre el puente.",
 ]
 
 
@@ -312,7 +318,7 @@ def test_no_refusals(response):
     assert pairs.defect("Tell me about the bridge of the town.", response) != "refusal"
 
 
-@pytest.mark.parametrize("response", ["(no answer)", "[No response provided]", "<empty>", "No data available.", "#N/A", "NaN", "(leer)", "pas de réponse", "Sin respuesta", "Keine Antwort vorhanden", "[insert answer here]", "---", "\ufeff\u2060"])
+@pytest.mark.parametrize("response", ["(no answer)", "[No response provided]", "<empty>", "No data available.", "#N/A", "NaN", "(leer)", "n.a.", "pas de réponse", "Sin respuesta", "Keine Antwort vorhanden", "[insert answer here]", "---", "\ufeff\u2060"])
 def test_stand_ins(response):
     assert pairs.defect("Why?", response) == "empty"
 
