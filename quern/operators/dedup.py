@@ -25,7 +25,7 @@ def exact_first(df: DataFrame, text: str, order: str) -> DataFrame:
     """One row for each different ``text``: the one with the smallest ``order``, which must not be null. Null texts are one text.
 
     Only fingerprints and orders are aggregated, and copies collapse in the partial step, so a text that makes up a third of the rows is no task of its own;
-    whole rows move once, to meet the orders that won. Repeated rows of one order are one row.
+    whole rows move once, to meet the orders that won. Repeated rows of one order are one row. ``df`` is read twice: checkpoint what is costly to make.
     """
     fp = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("\0null")), 256))
     firsts = df.select(fp.alias("__fp"), F.col(order).alias("__first")).groupBy("__fp").agg(F.min("__first").alias("__first"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import URL, is_blank
+from quern.operators.order import running_sum
 
 
 def length_between(text: Column, least: int = 50, most: int = 10_000) -> Column:
@@ -48,6 +49,17 @@ def preference_quality(tokens: dict[str, Column], least: dict[str, int], most: d
     return F.coalesce(ok if same is None else ok & ~same, F.lit(False))
 
 
+def first_sentences(df: DataFrame, order: str, sentences: Column, most: int) -> DataFrame:
+    """``(order, pos, sentence)``: the first ``most`` sentences of a corpus in ``order``, which must be unique, and by their place in the text.
+
+    Sentences are counted in order as numbers a document; only documents that reach the limit are then looked at, and the last one is cut.
+    """
+    counted = df.select(F.col(order).alias("__o"), F.coalesce(F.size(sentences), F.lit(0)).alias("__n"))
+    before = running_sum(counted, [], "__o", F.col("__n"), "__before").where(F.col("__before") < most).drop("__n")
+    taken = df.join(before, F.col(order) == F.col("__o"))
+    return taken.select(order, F.posexplode(F.slice(sentences, F.lit(1), (F.lit(most) - F.col("__before")).cast("int"))).alias("pos", "sentence"))
+
+
 def reason_counts(df: DataFrame, reason: str) -> DataFrame:
     """``(reason, n)``; rows that pass are ``kept``."""
     return df.groupBy(F.coalesce(F.col(reason), F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))

@@ -39,9 +39,9 @@ def corpus(spark, sf, per_source: int = 20_000):
     d = documents(spark, sf, "text", "lang", heavy=True).where("source is not null and lower(trim(lang)) = 'en'")
     d = with_once(d, "text", text.clean_text(F.col("text")))
     d = d.where(filters.length_between(F.col("text")) & text.is_english(F.col("text"), F.col("lang"))).drop("lang")
-    # the running sum reads its input twice: written once here, cleaning and counting aren't done again
-    first = checkpointed(with_once(dedup.exact_first(d, "text", "doc_id"), "tokens", estimate.smart_estimate(F.col("text"))))
-    return budget.within_budget(first, ["source"], "doc_id", "tokens", F.lit(per_source))
+    # copies and the budget read their input again: written once here, cleaning and counting aren't done again
+    d = checkpointed(with_once(d, "tokens", estimate.smart_estimate(F.col("text"))))
+    return budget.within_budget(dedup.exact_first(d, "text", "doc_id"), ["source"], "doc_id", "tokens", F.lit(per_source))
 
 
 @query(

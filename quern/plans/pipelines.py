@@ -56,17 +56,27 @@ def _source(spark: SparkSession, s: Source, rank: int) -> DataFrame:
     return kept.withColumn("ord", F.struct(F.lit(rank).alias("source_rank"), F.col("row").alias("row"))).withColumn("tokens", estimate.smart_estimate(F.col("text")))
 
 
-def pretraining_corpus(spark: SparkSession, c: Pretraining) -> DataFrame:
-    """``(source, row, text, tokens)``: every source cleaned, filtered, free of copies of what was admitted before, and within its budget.
+def pretraining_sources(spark: SparkSession, c: Pretraining) -> list[tuple[str, int, DataFrame]]:
+    """``(name, documents, admitted)`` of each source: how many passed its filters, and ``(source, row, text, tokens, ord)`` of those that were admitted.
 
-    Sources are taken in turn, as a document that an earlier source's budget shut out doesn't shut out a later copy.
+    Sources are taken in turn, as a document that an earlier source's budget shut out doesn't shut out a later copy. Each is cleaned once and checkpointed.
     """
     c.check()
     memory = dedup.Admission(c.near, c.threshold, c.permutations)
     parts = []
     for rank, s in enumerate(c.sources):
+        clean = checkpointed(_source(spark, s, rank))
         within = (lambda d: d) if s.token_budget is None else (lambda d, n=s.token_budget: budget.within_budget(d, ["source"], "row", "tokens", F.lit(n)))
-        parts.append(memory.admit(_source(spark, s, rank), "text", "row", within))
+        parts.append((s.name, clean.count(), memory.admit(clean, "text", "row", within)))
+    return parts
+
+
+def pretraining_corpus(spark: SparkSession, c: Pretraining) -> DataFrame:
+    """``(source, row, text, tokens, ord)``: every source cleaned, filtered, free of copies of what was admitted before, and within its budget."""
+    return _joined([d for _, _, d in pretraining_sources(spark, c)])
+
+
+def _joined(parts: list[DataFrame]) -> DataFrame:
     whole = parts[0]
     for d in parts[1:]:
         whole = whole.unionByName(d)
@@ -74,11 +84,19 @@ def pretraining_corpus(spark: SparkSession, c: Pretraining) -> DataFrame:
 
 
 def prepare_pretraining(spark: SparkSession, c: Pretraining, directory: str, force: bool = False) -> dict:
-    """The corpus as gzipped shards with a manifest that holds its statistics; nothing is done if one is there, unless ``force``."""
+    """The corpus as gzipped shards with a manifest that holds its statistics; nothing is done if one is there, unless ``force``.
+
+    Of each source: the documents that passed its filters, those admitted, those that copies or the budget shut out, and the tokens.
+    """
     if not force and writers.exists(spark, f"{directory}/manifest.json"):
         return readers.manifest(spark, directory)
-    d = checkpointed(pretraining_corpus(spark, c))
-    stats = {r["source"]: {"documents": r["docs"], "tokens": r["tokens"]} for r in d.groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens")).collect()}  # one row a source
+    parts = pretraining_sources(spark, c)
+    d = _joined([p for _, _, p in parts])
+    sums = {r["source"]: r for r in d.groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens")).collect()}  # one row a source
+    stats = {}
+    for name, processed, _ in parts:
+        docs, tokens = (sums[name]["docs"], sums[name]["tokens"]) if name in sums else (0, 0)
+        stats[name] = {"processed": processed, "documents": docs, "shut_out": processed - docs, "tokens": tokens}
     rows = d.select("text", "source", F.col("tokens").alias("exact_tokens"), F.length("text").alias("character_count"), "ord")
     return writers.write_shards(rows, directory, "ord", c.docs_per_shard, "exact_tokens", asdict(c), {"statistics": stats}, force=True)
 

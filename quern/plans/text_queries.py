@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import estimate, templates, text
 from quern.functions.words import gpt2_token_count, words
+from quern.operators import filters
 from quern.plans import sql
 from quern.plans.registry import query
 from quern.session import table
@@ -93,6 +94,17 @@ def text_training_sentences(spark, sf):
     return _docs(spark, sf, "text").select("doc_id", F.explode(text.training_sentences(F.col("text"), 20, 120)).alias("sentence"))
 
 
+@query(
+    "text_first_sentences",
+    rf"""WITH p AS (SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?]){sql.BL}+([A-Z"''(\[])', '\1' || chr(1) || '\2', 'g'), '[\x01\n]') AS parts FROM documents WHERE text IS NOT NULL),
+    s AS (SELECT doc_id, list_filter(list_transform(parts, lambda x: {sql.strip('x')}), lambda x: len(x) >= 20) AS l FROM p), u AS (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) - 1 AS pos FROM s)
+    SELECT doc_id, pos::INT AS pos, substr(s, 1, 120) AS sentence FROM u ORDER BY doc_id, pos LIMIT 777""",
+)
+def text_first_sentences(spark, sf):
+    """A training sample of a stated number of sentences."""
+    return filters.first_sentences(_docs(spark, sf, "text"), "doc_id", text.training_sentences(F.col("text"), 20, 120), 777)
+
+
 @query("text_blank_words", f"SELECT doc_id, count(*) AS n, count(DISTINCT w) AS n_distinct FROM (SELECT doc_id, unnest({sql.pieces('lower(text)')}) AS w FROM documents) GROUP BY doc_id")
 def text_blank_words(spark, sf):
     w = text.blank_words(F.col("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
@@ -117,10 +117,17 @@ def subset(m: dict, target_tokens: int) -> dict:
     return {**m, "shards": taken, "total_documents": sum(s["num_documents"] for s in taken), "total_tokens": sum(s["num_tokens"] or 0 for s in taken)}
 
 
-def cached(spark: SparkSession, path: str, config: Any, build: Callable[[], DataFrame], tokens: str | None = None) -> DataFrame:
-    """``build()`` kept as Parquet: read back if it was written under the same configuration and all its rows are there, else made anew."""
+def changed_at(spark: SparkSession, path: str) -> int:
+    """When a file, or the latest file directly in a folder, was changed, in milliseconds; 0 if there is nothing."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return max((f.getModificationTime() for f in fs.listStatus(p)), default=0) if fs.exists(p) else 0
+
+
+def cached(spark: SparkSession, path: str, config: Any, build: Callable[[], DataFrame], tokens: str | None = None, sources: Sequence[str] = ()) -> DataFrame:
+    """``build()`` kept as Parquet: read back if it was written under the same configuration, all its rows are there and none of ``sources`` (files or folders) is newer, else made anew."""
     meta = f"{path}.metadata.json"
-    if exists(spark, meta) and exists(spark, path):
+    if exists(spark, meta) and exists(spark, path) and all(changed_at(spark, s) <= changed_at(spark, meta) for s in sources):
         known = json.loads(spark.read.text(meta, wholetext=True).first()[0])
         kept = spark.read.parquet(path)
         if known["config_hash"] == config_hash(config) and known["rows"] == kept.count():

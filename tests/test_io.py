@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +103,11 @@ def test_cache(spark, tmp_path):
     for config in ({"v": 1}, {"v": 1}, {"v": 2}):
         assert writers.cached(spark, path, config, build, "n").count() == 2
     assert len(built) == 2
+    newer = tmp_path / "source.txt"
+    newer.write_text("x")
+    for at, n in ((0, 2), (4_000_000_000, 3)):
+        os.utime(newer, (at, at))
+        assert writers.cached(spark, path, {"v": 2}, build, "n", [str(newer)]).count() == 2 and len(built) == n
     assert writers.cache_listing(spark, str(tmp_path)).select("rows", "tokens").first() == (2, 11)
     writers.clear_cache(spark, path)
     assert not writers.exists(spark, path)
@@ -125,8 +131,6 @@ def test_packed_binary(spark, tmp_path):
 
 @pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"])
 def test_tokenizers(spark, name):
-    import os
-
     path = os.path.join(os.path.dirname(tokenizer_path()), name)
     if not os.path.exists(path):
         pytest.skip("no vocabulary files")
@@ -136,8 +140,6 @@ def test_tokenizers(spark, name):
 
 
 def test_vocabulary_facts(spark):
-    import os
-
     path = tokenizer_path()
     if not os.path.exists(path):
         pytest.skip("no vocabulary files")
@@ -183,6 +185,7 @@ def test_pretraining_pipeline(spark, tmp_path):
     for name, rows in (("one", [0, 1, 1, 2]), ("two", [2, 3, 4, 0])):
         (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"id": k, "text": words[w]}) for k, w in enumerate(rows)))
     m = pipelines.prepare_pretraining(spark, c, str(tmp_path / "out"))
+    assert m["statistics"] == {"one": {"processed": 4, "documents": 2, "shut_out": 2, "tokens": m["statistics"]["one"]["tokens"]}, "two": {"processed": 4, "documents": 3, "shut_out": 1, "tokens": m["statistics"]["two"]["tokens"]}}
     assert m["total_documents"] == 5 and pipelines.prepare_pretraining(spark, c, str(tmp_path / "out")) == m
     with pytest.raises(ValueError):
         pipelines.Pretraining(()).check()
