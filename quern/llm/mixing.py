@@ -140,7 +140,7 @@ def mix(docs: DataFrame, planned: DataFrame, shards: int | None = None, block_to
     shards = shards or shard_count(planned, tokens_per_shard)
     drawn = checkpointed(draw(docs, planned, block_tokens, seed))
     taken = drawn.groupBy("mix_name", "source", "copy", "block").agg(F.xxhash64(F.lit(seed + 3), "mix_name", "source", "copy", "block").alias("at"))
-    ranked = checkpointed(position(taken, ["mix_name", "source"], "at", "rank"))
+    ranked = position(taken, ["mix_name", "source"], "at", "rank")  # read twice, from what its ranges wrote
     quotas = shard_quotas(ranked.groupBy("mix_name", "source").agg(F.count("*").alias("n_blocks")), shards, seed)
     # the stretches of ranks that the shards get, rank by rank: one row a block
     by_rank = quotas.select("mix_name", "source", "shard", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("rank"))
