@@ -28,7 +28,7 @@ from quern.llm.lexicon import LANGUAGES_OF, WORD
 from quern.llm.quality import _BULLET, _reads_as_sentences
 
 #: A link: an opening anchor, a scheme or ``www.``, or a host by its syntax (labels, the first with a letter, and a last one of lower-case letters) with its path.
-_LINK = re.compile(r"""<a\s[^>]*>|(?:[a-z][a-z0-9+.-]*://|www\.)[^\s<>"')\]]+|(?<![\w.@/-])(?=[\w-]*[^\W\d_])[\w-]+(?:\.[\w-]+)*\.[a-z]{2,24}(?![\w-])(?:/[^\s<>"')\]]*)?""")
+_LINK = re.compile(r"""<a\s[^<>]*>|(?:[a-z][a-z0-9+.-]{0,30}://|www\.)[^\s<>"')\]]+|(?<![\w.@/-])(?=[\w-]*[^\W\d_])[\w-]+(?:\.[\w-]+)*\.[a-z]{2,24}(?![\w-])(?:/[^\s<>"')\]]*)?""")
 _HASH = re.compile(r"#\w+")
 _TAG = re.compile(r"<[^<>]+>")
 #: Stands for each character of a link; no letter, digit or blank.

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -81,6 +82,15 @@ def test_statistics_frame(spark):
     assert quality.text_statistics(d.limit(0)).count() == 0
 
 
+def test_long_texts_take_time_in_proportion():
+    n = 60_000
+    index = leaks.indexes(leaks.targets([(1, PROSE, "where is the boat")], leaks.Settings()))
+    for t in ("a" * n, "a." * n, "a://" + "a" * n, "<" * n + " www.a", "<a " * n, "#" * n, "-a" * n + "://x", "x\n" * n, "- x y\n" * (n // 4), " " * n, ". " * n, "`" * n, "\U0001f600" * n, "a@b.co " * (n // 4), "“" * n, "a|b|c\n" * (n // 4)):
+        began = time.process_time()
+        stuffing.measure(t), quality.describe(t), pairs.defect(t, t), [list(leaks.scan([t], i)) for i in index]
+        assert time.process_time() - began < 5
+
+
 # 2
 
 
