@@ -206,6 +206,33 @@ def test_capped_shards(spark):
     assert cut(max_docs=1) == {("a", 1): 0, ("a", 2): 1, ("a", 3): 2, ("a", 4): 3, ("b", 1): 0}
 
 
+def capped(rows, tokens, docs, overflow):
+    out, at, shard, used, n = {}, None, 0, 0, 0
+    for s, o, t in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        t = t or 0
+        if s != at or not out:
+            at, shard, used, n = s, 0, 0, 0
+        elif (used > 0 and used + t > tokens) if overflow else (used >= tokens or docs is not None and n >= docs):
+            shard, used, n = shard + 1, 0, 0
+        out[s, o] = shard
+        used, n = used + t, n + 1
+    return out
+
+
+def test_capped_shards_over_ranges(spark):
+    rng = random.Random(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for sizes, tokens, docs, overflow in (((0, 1, 2, 9), 20, None, False), ((0, 0, 0, 5, 30), 20, None, True), ((1, 3, 50), 20, 7, False), ((0,), 5, 3, False), ((0, None, 4), 9, None, True), ((2,), 10_000, None, False)):
+            rows = [(s, i * 3 + k, rng.choice(sizes)) for k, s in enumerate(["a", "b", None]) for i in range({"a": 300, "b": 40}.get(s, 5))]
+            d = frame(spark, rows, "s string, o bigint, n int")
+            got = capped_shards(d, "s", "o", "n", tokens, docs, overflow).collect()
+            assert len(got) == len(rows) and {(r.s, r.o): r.shard for r in got} == capped(rows, tokens, docs, overflow)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert capped_shards(d.limit(0), "s", "o", "n", 5).count() == 0
+
+
 @pytest.mark.parametrize(
     ("p", "c", "r", "fault"),
     [("a", "b", "c", None), (None, "b", "c", "missing_prompt"), ("a", " \n", "c", "empty_chosen"), ("a", "b", "b", "same"), (" ", None, "c", "missing_chosen")],
