@@ -188,6 +188,13 @@ def vocabulary_composition(vocabulary: DataFrame, token: str, special: Column, m
     )
 
 
+def findings(unknown_percent: Column, utilisation_percent: Column, chars_per_token: Column, preserved_percent: Column) -> tuple[Column, Column]:
+    """Strengths and weaknesses of a tokenizer, as arrays of what they concern: ``coverage``, ``compression``, ``words``, ``utilisation``."""
+    named = lambda *of: F.array_compact(F.array(*[F.when(c, n) for n, c in of]))
+    strong = named(("coverage", unknown_percent < 0.5), ("compression", chars_per_token.between(3.5, 4.5)), ("words", preserved_percent > 80))
+    return strong, named(("coverage", unknown_percent > 1.0), ("utilisation", utilisation_percent < 80), ("words", preserved_percent < 60))
+
+
 def rates(observed: dict, seconds: float) -> dict[str, float]:
     """Docs, characters and tokens a second, and tokens a document, of what ``throughput`` observed."""
     s = max(seconds, 1e-9)

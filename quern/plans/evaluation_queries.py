@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import estimate
 from quern.functions.text import blank_words
-from quern.operators import evaluate, filters, order
+from quern.operators import budget, evaluate, filters, order
 from quern.plans import sql
 from quern.plans.registry import query
 from quern.session import table
@@ -63,6 +63,18 @@ def preference_validation_summary(spark, sf):
     return table(spark, sf, "preference_pairs").select(ok.alias("ok")).agg(F.count("*").alias("rows"), F.count_if("ok").alias("valid"), F.avg(F.col("ok").cast("int")).alias("rate"))
 
 
+@query("preference_validation_sample", f"""WITH p AS (SELECT pair_id, min(CASE WHEN prompt IS NULL THEN 'missing_prompt' WHEN chosen IS NULL THEN 'missing_chosen' WHEN rejected IS NULL THEN 'missing_rejected'
+      WHEN len({sql.strip('prompt')}) = 0 THEN 'empty_prompt' WHEN len({sql.strip('chosen')}) = 0 THEN 'empty_chosen' WHEN len({sql.strip('rejected')}) = 0 THEN 'empty_rejected' WHEN chosen = rejected THEN 'same' ELSE 'kept' END) AS reason FROM preference_pairs GROUP BY 1),
+    s AS (SELECT * FROM p QUALIFY row_number() OVER (ORDER BY ('0x' || substr(sha256('42|' || pair_id), 1, 13))::BIGINT) <= 100)
+    SELECT reason, count(*) AS n, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM s GROUP BY 1""")
+def preference_validation_sample(spark, sf):
+    """Faults of a seeded sample of 100 pairs."""
+    fault = F.coalesce(filters.preference_fault(F.col("prompt"), F.col("chosen"), F.col("rejected")), F.lit("kept"))
+    p = table(spark, sf, "preference_pairs").groupBy("pair_id").agg(F.min(fault).alias("reason"))
+    g = budget.seeded_sample(p, [], ["pair_id"], F.lit(100)).groupBy("reason").agg(F.count("*").alias("n"))
+    return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))  # a row a reason
+
+
 # Responses
 
 _W = sql.pieces("lower(response)")

@@ -80,11 +80,12 @@ def tokenizer_quality(spark, sf):
     """The corpus is encoded once; its ids give coverage and compression."""
     f = tokenize.facts(tokenizer_path())
     e = checkpointed(_encoded(spark, sf).select("ids", F.length("text").alias("chars")))
-    c = tokenize.coverage(e, "ids", f.size, f.unknown).select("unknown_percent")
-    r = e.where("chars > 0 and size(ids) > 0").agg(F.avg(F.size("ids") / F.col("chars")).alias("ratio"))
+    c = tokenize.coverage(e, "ids", f.size, f.unknown).select("unknown_percent", "utilisation_percent")
+    r = e.where("chars > 0 and size(ids) > 0").agg(F.avg(F.size("ids") / F.col("chars")).alias("ratio"), F.avg(F.col("chars") / F.size("ids")).alias("chars_per_token"))
     s = tokenizer_linguistic(spark, sf).select("preserved_percent").crossJoin(F.broadcast(c)).crossJoin(F.broadcast(r))  # one row each
     score = tokenize.tokenizer_score(F.col("unknown_percent"), F.col("ratio"), F.lit(f.size - len(f.special)), F.col("preserved_percent"))
-    return s.withColumn("score", score).withColumn("grade", tokenize.grade(F.col("score")))
+    strong, weak = tokenize.findings(*[F.col(x) for x in ("unknown_percent", "utilisation_percent", "chars_per_token", "preserved_percent")])
+    return s.withColumn("score", score).withColumn("grade", tokenize.grade(F.col("score"))).withColumn("strengths", strong).withColumn("weaknesses", weak)
 
 
 @query("tokenizer_dataset_score")

@@ -163,6 +163,24 @@ def sft_split_faults(spark: SparkSession, directory: str, split: str) -> DataFra
     return lost.unionAll(lines.where(parsed["__bad"].isNotNull()).groupBy("shard").agg(F.lit(False).alias("missing"), F.count("*").alias("bad_lines")))
 
 
+def token_shards(spark: SparkSession, directory: str, split: str) -> DataFrame:
+    """``(input_ids, labels, attention_mask)`` of the tokenized shards of a split: those that a manifest lists under ``<split>_shards``, or without a manifest ``<split>_*.jsonl``.
+
+    A split that the manifest doesn't list, or that has no shard, raises. The mask is one for every token.
+    """
+    there = listing(spark, directory)
+    if any(p.endswith("/manifest.json") for p in there):
+        m = manifest(spark, directory)
+        if f"{split}_shards" not in m:
+            raise ValueError(f"the manifest lists no shards of {split!r}")
+        files = [f"{directory}/{p}" for p in m[f"{split}_shards"]]
+    else:
+        files = sorted(p for p in there if p.rpartition("/")[2].startswith(f"{split}_") and p.endswith(".jsonl"))
+    if not files:
+        raise ValueError(f"no shards of {split!r} in {directory}")
+    return jsonl(spark, files, "input_ids array<int>, labels array<int>").withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
+
+
 def preference_shards(spark: SparkSession, directory: str) -> DataFrame:
     """The preference triplets of a folder with a manifest: of the shards that it names, or of ``shard_*.jsonl`` if it names none."""
     schema = "prompt string, chosen string, rejected string"

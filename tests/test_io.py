@@ -93,6 +93,18 @@ def test_split_shards(spark, tmp_path):
         readers.sft_split(spark, out, "test")
 
 
+def test_token_shards(spark, tmp_path):
+    for name, ids in (("train_1", [4]), ("train_0", [1, 2, 3]), ("val_0", [5])):
+        (tmp_path / f"{name}.jsonl").write_text(json.dumps({"input_ids": ids, "labels": ids}))
+    got = lambda split: sorted((r.input_ids, r.attention_mask) for r in readers.token_shards(spark, str(tmp_path), split).collect())
+    assert got("train") == [([1, 2, 3], [1, 1, 1]), ([4], [1])]
+    (tmp_path / "manifest.json").write_text(json.dumps({"train_shards": ["train_1.jsonl"]}))
+    assert got("train") == [([4], [1])]
+    for split in ("val", "test"):
+        with pytest.raises(ValueError):
+            readers.token_shards(spark, str(tmp_path), split)
+
+
 def test_cache(spark, tmp_path):
     path, built = str(tmp_path / "cache"), []
 
