@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.lexicon import words
+from quern.llm.lexicon import portions, words
 
 _BASE = 0x100000001B3 | 1
 _SCRAMBLE = np.uint64(0x9E3779B97F4A7C15)
@@ -259,7 +259,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, document: str = "doc_id",
     ``part`` is ``passage`` or ``question``, ``words`` the number of consecutive words held (of the regions with the
     fewest edits), ``edits`` the character edits of these (0: word for word). Items with the same passage all count.
     Null and blank texts, passages of fewer than ``s.min_words`` words and questions without words hold nothing. Every
-    row of ``documents`` is looked at on its own, repeated rows give repeated results. Columns keep the names of
+    row of ``documents`` is looked at on its own, repeated rows give repeated results; repeated rows of ``items`` count once. Columns keep the names of
     ``document`` and ``item``.
 
     Items are gathered block by block, ``s.block_chars`` characters at a time whatever passages they share, and the documents are read once for
@@ -269,7 +269,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, document: str = "doc_id",
     item_type = items.select(item).schema[0].dataType.simpleString()
     schema = f"document {doc_type}, item {item_type}, part string, words int, edits int"
     inner = documents.select(F.col(document).alias("__id"), F.col(text).alias("__text")).where(F.col("__text").isNotNull())
-    chosen = items.select(F.col(item).alias("__item"), F.col(passage).alias("__p"), F.col(question).alias("__q"))
+    chosen = items.select(F.col(item).alias("__item"), F.col(passage).alias("__p"), F.col(question).alias("__q")).distinct()
     chars = chosen.agg(F.sum(F.coalesce(F.length("__p"), F.lit(0)) + F.coalesce(F.length("__q"), F.lit(0))).cast("bigint")).first()[0] or 0
     blocks = -(-chars // s.block_chars) or 1
     sc = documents.sparkSession.sparkContext
@@ -287,8 +287,8 @@ def find_leaks(documents: DataFrame, items: DataFrame, document: str = "doc_id",
                 for one in some:
                     for index in opened or pickle.loads(one.value):
                         rows, out = [], []
-                        for start in range(0, len(texts), 500):
-                            for d, of, regions, edits in scan(texts[start : start + 500], index):
+                        for start, end in portions(texts):
+                            for d, of, regions, edits in scan(texts[start:end], index):
                                 n = regions + s.min_words - 1 if of.part == "passage" else of.text.count(" ") - 1
                                 for i in of.items:
                                     rows.append(start + d)

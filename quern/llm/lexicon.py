@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 #: A word: a longest run of letters and digits.
 WORD = re.compile(r"[^\W_]+")
@@ -35,3 +36,16 @@ ALL_COMMON = frozenset(LANGUAGES_OF)
 def words(text: str | None) -> list[str]:
     """The words of ``text`` in order, lower-cased; none for null."""
     return WORD.findall(text.lower()) if text else []
+
+
+def portions(texts: list[str | None], most_chars: int = 1_000_000, most_texts: int = 1000) -> Iterator[tuple[int, int]]:
+    """``(start, end)`` of stretches of ``texts`` of at most so many characters and texts, so that what is held doesn't follow the longest texts; a longer text is alone."""
+    start = chars = 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > start and (chars + n > most_chars or i - start >= most_texts):
+            yield start, i
+            start, chars = i, 0
+        chars += n
+    if start < len(texts):
+        yield start, len(texts)

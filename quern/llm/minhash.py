@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.lexicon import WORD
+from quern.llm.lexicon import WORD, portions
 from quern.session import broadcast_if_small, checkpointed
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -193,9 +193,10 @@ def signatures(df: DataFrame, record: str, text: Column, s: Settings) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                b = whole.slice(start, 1000)
-                row, element, count, sizes = shingles(b.column("__text").to_pylist(), s.k, hashes)
+            texts = whole.column("__text").to_pylist()
+            for start, end in portions(texts):
+                b = whole.slice(start, end - start)
+                row, element, count, sizes = shingles(texts[start:end], s.k, hashes)
                 n = np.bincount(row, minlength=b.num_rows)
                 take = np.flatnonzero((n > 0) & (sizes >= s.min_words))
                 if not len(take):
@@ -225,12 +226,13 @@ def elements(df: DataFrame, text: Column, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in batches:
-            row, element, count, _ = shingles(b.column("__text").to_pylist(), s.k, hashes)
-            weight = count if s.weights == "count" else np.ones(len(count), np.int64)
-            name, _ = _set_keys(row, element, weight, b.num_rows)
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b.num_rows))]), pa.int32())
-            yield pa.RecordBatch.from_arrays([_signed(name), pa.ListArray.from_arrays(ends, _signed(element)), pa.ListArray.from_arrays(ends, pa.array(weight, pa.int32()))], names=["class", "elements", "weights"])
+        for texts in (b.column("__text").to_pylist() for b in batches):
+            for start, end in portions(texts):
+                row, element, count, _ = shingles(texts[start:end], s.k, hashes)
+                weight = count if s.weights == "count" else np.ones(len(count), np.int64)
+                name, _ = _set_keys(row, element, weight, end - start)
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=end - start))]), pa.int32())
+                yield pa.RecordBatch.from_arrays([_signed(name), pa.ListArray.from_arrays(ends, _signed(element)), pa.ListArray.from_arrays(ends, pa.array(weight, pa.int32()))], names=["class", "elements", "weights"])
 
     return inner.mapInArrow(run, "class bigint, elements array<bigint>, weights array<int>").where(F.size("elements") > 0)
 

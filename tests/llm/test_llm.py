@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quern.llm import binpack, leaks, minhash, mixing, pairs, quality, queries, stuffing
+from quern.llm import binpack, leaks, lexicon, minhash, mixing, pairs, quality, queries, stuffing
 
 WORD = re.compile(r"[^\W_]+")
 PROSE = "The old engineer opened the gate and walked to the river. It was late in the year, and nobody was there. A small boat lay on the water near the bridge."
@@ -91,6 +91,12 @@ def test_long_texts_take_time_in_proportion():
         assert time.process_time() - began < 5
 
 
+def test_portions():
+    texts = ["a" * n for n in (3, 4, 20, 1, 1, 1, 9)] + [None, ""]
+    got = list(lexicon.portions(texts, 10, 3))
+    assert got == [(0, 2), (2, 3), (3, 6), (6, 9)] and list(lexicon.portions([])) == [] and list(lexicon.portions([None])) == [(0, 1)]
+
+
 # 2
 
 
